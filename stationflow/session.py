@@ -5,13 +5,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import stationflow
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 _own_roots: dict[str, str] = {}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set the runtime options the operators rely on; cluster sizing is left alone."""
+    """Set the runtime options the operators rely on; cluster sizing is left alone.
+
+    The few functions that run in Python workers travel with the plan, so executors need no copy
+    of this package.
+    """
+    cloudpickle.register_pickle_by_value(stationflow)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")

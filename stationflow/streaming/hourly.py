@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from stationflow.functions.times import drop_zone, to_utc
 from stationflow.streaming.sinks import write_changes
 
 
@@ -27,15 +28,17 @@ def stream_hourly(
     """Trips per station and hour of a stream of clean trips.
 
     ``delay`` is how far behind the newest trip a trip may come in and still be counted; later
-    ones are dropped.  State is one count per station and open hour.
+    ones are dropped.  State is one count per station and open hour.  Watermarks need a time with
+    a zone; the result has none again.
     """
     hour = F.window(F.col(time), "1 hour")
     return (
         trips.where(F.col(station).isNotNull() & F.col(time).isNotNull())
+        .withColumn(time, to_utc(time))
         .withWatermark(time, delay)
         .groupBy(F.col(station).cast("string").alias("station_id"), hour.alias("_window"))
         .agg(F.count(F.lit(1)).alias("rides"))
-        .select("station_id", F.col("_window.start").cast("timestamp_ntz").alias("hour"), "rides")
+        .select("station_id", drop_zone("_window.start").alias("hour"), "rides")
     )
 
 
