@@ -49,9 +49,9 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("string").alias("ride_id"),
         F.when(value < 0.6, "bad")
         .when(value < 2.0, F.date_format("ts", "yyyy-M-d H:m:s"))
-        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"))
+        .otherwise(F.col("ts").cast("string"))
         .alias("started_at"),
-        F.when(value <= 224.0, F.date_format(F.col("ts") + minutes, "yyyy-MM-dd HH:mm:ss")).alias("ended_at"),
+        F.when(value <= 224.0, (F.col("ts") + minutes).cast("string")).alias("ended_at"),
         F.when(~value.between(2.0, 2.5), F.col("event_type")).alias("start_station_id"),
         F.when(~value.between(100.0, 101.0), F.col("user_id").cast("string")).alias("end_station_id"),
     )
@@ -127,9 +127,8 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         """SELECT CAST(event_id AS VARCHAR) AS ride_id,
   CASE WHEN value < 0.6 THEN 'bad' WHEN value < 2.0 THEN strftime(ts, '%Y-%-m-%-d %-H:%-M:%-S')
-       ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%g') END AS started_at,
-  CASE WHEN value <= 224.0
-       THEN strftime(ts + to_seconds(CAST(floor(value * 60) AS BIGINT)), '%Y-%m-%d %H:%M:%S') END AS ended_at,
+       ELSE CAST(ts AS VARCHAR) END AS started_at,
+  CASE WHEN value <= 224.0 THEN CAST(ts + to_seconds(CAST(floor(value * 60) AS BIGINT)) AS VARCHAR) END AS ended_at,
   CASE WHEN value NOT BETWEEN 2.0 AND 2.5 THEN event_type END AS start_station_id,
   CASE WHEN value NOT BETWEEN 100.0 AND 101.0 THEN CAST(user_id AS VARCHAR) END AS end_station_id
 FROM events""",
