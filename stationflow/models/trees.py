@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
@@ -57,6 +58,8 @@ def pipeline(strategy: str, params: TreeParams, selected: Sequence[int] | None =
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
+_PREPARING = Lock()
+
 # Training rows one task handles; a station's frame is split into about this many rows.
 ROWS_PER_TASK = 200_000
 
@@ -97,7 +100,11 @@ def fit_stations(
 
     def fit(station: str) -> PipelineModel:
         rows = station_rows(frame, station, counts[station])
-        return pipeline(strategy, params, (selected or {}).get(station)).fit(rows)
+        *inputs, regressor = pipeline(strategy, params, (selected or {}).get(station)).getStages()
+        # The driver-side decomposition of PCA is not safe to run in two threads at once.
+        with _PREPARING:
+            prepared = Pipeline(stages=inputs).fit(rows)
+        return PipelineModel([*prepared.stages, regressor.fit(prepared.transform(rows))])
 
     known = [s for s in stations if s in counts]
     return dict(zip(known, in_parallel(spark, known, fit, parallelism)))

@@ -6,6 +6,7 @@ import posixpath
 import shutil
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,6 +16,8 @@ from stationflow.session import shared_root
 from stationflow.sources.files import filesystem_of, list_files, one_task_each, open_uri
 
 CHUNK_BYTES = 1 << 20
+# What a missing, cut or damaged archive raises.
+UNREADABLE = (zipfile.BadZipFile, zlib.error, OSError, EOFError, ValueError)
 
 
 def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -24,7 +27,7 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 with open_uri(path) as raw, zipfile.ZipFile(raw) as archive:
                     found += [(path, m.filename, m.file_size, None) for m in archive.infolist() if not m.is_dir()]
-            except (zipfile.BadZipFile, OSError) as error:
+            except UNREADABLE as error:
                 found.append((path, None, None, str(error)))
         yield pd.DataFrame(found, columns=["path", "member", "length", "error"]).astype({"length": "Int64"})
 
@@ -65,7 +68,7 @@ def extract_archives(spark: SparkSession, pattern: str, raw_dir: str) -> DataFra
                             shutil.copyfileobj(source, sink, CHUNK_BYTES)
                     filesystem.move(part, target)
                     done.append((path, member, f"{raw_dir}/{name}", None))
-                except (zipfile.BadZipFile, OSError, EOFError) as error:
+                except UNREADABLE as error:
                     done.append((path, member, None, str(error)))
             yield pd.DataFrame(done, columns=["path", "member", "target", "error"])
 

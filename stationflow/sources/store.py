@@ -73,6 +73,9 @@ class TableStore:
 
     def replace_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str], version: int = 1) -> None:
         """Replace only the partitions that occur in ``df``; the others stay."""
+        if version not in self.versions(name):
+            self.write(name, df, version, partition_by)
+            return
         (
             df.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

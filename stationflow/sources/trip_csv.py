@@ -55,12 +55,17 @@ def _scan_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str]
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("ignoreCorruptFiles", True)
+        # Whether a row is damaged must not depend on the columns a query happens to need.
+        .option("columnPruning", False)
         .csv(list(paths))
         .withColumn(SOURCE, F.col("_metadata.file_name"))
     )
     # A row with too few fields is kept, its missing fields null; one with too many is set aside.
-    short = F.col(CORRUPT).isNotNull() & (_field_count(F.col(CORRUPT)) <= len(header))
-    return rows.withColumn(CORRUPT, F.when(~short, F.col(CORRUPT)))
+    # Spark refuses scans that need no column but the damaged line, such as a count of the rows, so
+    # the test also touches the first field, in a way that is always true.
+    touched = F.coalesce(F.length(F.col(header[0])), F.lit(0)) >= 0
+    surplus = F.col(CORRUPT).isNotNull() & touched & (_field_count(F.col(CORRUPT)) > len(header))
+    return rows.withColumn(CORRUPT, F.when(surplus, F.col(CORRUPT)))
 
 
 def scan_trip_files(
@@ -95,7 +100,7 @@ def scan_trip_files(
     return TripScan(
         rows=union.where(F.col(CORRUPT).isNull()).drop(CORRUPT),
         rejected_rows=union.where(F.col(CORRUPT).isNotNull()).select(
-            SOURCE, F.col(CORRUPT).alias("line"), F.lit("too many fields").alias("reason")
+            SOURCE, F.col(CORRUPT).alias("line"), F.lit("too many fields").alias("reason"), *required
         ),
         rejected_files=rejected_files,
     )
