@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stationflow.config import REQUIRED_TRIP_COLUMNS
 from stationflow.functions.times import floor_hour, monday_weekday, strict_time, strip_fraction
 
 
 def parse_trip_times(trips: DataFrame) -> DataFrame:
-    """Read both trip times as zoneless timestamps with whole seconds; bad text becomes null."""
-    return trips.withColumns(
-        {name: strict_time(strip_fraction(F.col(name).cast("string"))) for name in ("started_at", "ended_at")}
-    )
+    """Read both trip times as zoneless timestamps with whole seconds; bad text becomes null.
+
+    The times come out of a one-row generator.  As a plain projection they would be computed twice,
+    because Catalyst copies them into every filter on them, and reading text is the dear part of
+    the whole clean-up.
+    """
+    times = ("started_at", "ended_at")
+    parsed = F.struct(*[strict_time(strip_fraction(F.col(name).cast("string"))).alias(name) for name in times])
+    others = [name for name in trips.columns if name not in times]
+    return trips.select(*others, F.inline(F.array(parsed))).select(trips.columns)
 
 
 def add_date_parts(trips: DataFrame) -> DataFrame:
@@ -31,8 +40,16 @@ def add_date_parts(trips: DataFrame) -> DataFrame:
 
 
 def clean_trips(trips: DataFrame) -> DataFrame:
-    """Parse times, drop rows without a usable time or station, add calendar columns."""
-    return add_date_parts(parse_trip_times(trips).dropna(subset=list(REQUIRED_TRIP_COLUMNS)))
+    """Parse times, drop rows without a usable time or station, add calendar columns.
+
+    Missing fields are filtered out before the times are read, and at the scan if it can.
+    """
+    whole = trips.where(all_present(REQUIRED_TRIP_COLUMNS))
+    return add_date_parts(parse_trip_times(whole).where(all_present(("started_at", "ended_at"))))
+
+
+def all_present(names: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in names])
 
 
 def rejected_trips(trips: DataFrame) -> DataFrame:

@@ -87,3 +87,8 @@ def test_counts_are_partial_before_the_shuffle(spark, plan):
     )
     text = plan(hourly_counts(trips))
     assert "partial_count" in text and text.count("Exchange") == 1
+
+
+def test_times_are_read_once(spark, plan):
+    trips = spark.range(10).select(*[F.lit("x").alias(f.name) for f in TRIPS_RAW.fields]).persist()
+    assert plan(clean_trips(trips)).lower().count("rlike") == 2
