@@ -21,6 +21,11 @@ def for_stations(df: DataFrame, stations: Sequence[str] | DataFrame) -> DataFram
     return df.where(F.col("station_id").isin(*stations))
 
 
+def for_station_name(df: DataFrame, stations: DataFrame, name: str) -> DataFrame:
+    """Rows of the station with the given display name."""
+    return for_stations(df, stations.where(F.col("station_name") == name))
+
+
 def newer_than(rows: DataFrame, stored: DataFrame, time: str = "hour") -> DataFrame:
     """Rows later than the newest stored time of *all* stations.
 

@@ -9,14 +9,18 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from stationflow.config import DEFAULTS
+from stationflow import schemas
+from stationflow.config import DEFAULTS, REQUIRED_TRIP_COLUMNS
+from stationflow.functions.dims import model_dim, station_dim
 from stationflow.models.forecast import recursive_trees
 from stationflow.models.registry import ModelRegistry, selected_features, split_importance, top_features
 from stationflow.models.trees import STRATEGIES, TreeParams, explained_variance, fit_stations, predict
 from stationflow.operators.metrics import NAIVE_MODEL, mae, metrics_table, naive_baseline
 from stationflow.operators.series import feature_table, feature_table_after, seed_state, training_frame
-from stationflow.operators.trips import clean_trips, hourly_counts
+from stationflow.operators.trips import clean_trips, hourly_counts, rejected_trips
+from stationflow.plans import reports
 from stationflow.sources.store import TableStore
+from stationflow.sources.trip_csv import SOURCE, TripScan, export_csv
 
 FEATURES = "hourly_features"
 METRICS = "model_metrics"
@@ -32,6 +36,14 @@ def load_history(store: TableStore, trips: DataFrame) -> None:
     store.write(FEATURES, feature_table(hourly_counts(clean_trips(trips))))
 
 
+def keep_rejects(store: TableStore, scan: TripScan) -> None:
+    """Store what the scan set aside: damaged rows, rows the clean-up drops, unusable files."""
+    dropped = rejected_trips(scan.rows).select(SOURCE, "reason", *REQUIRED_TRIP_COLUMNS)
+    damaged = scan.rejected_rows.select(SOURCE, "reason", "line", *REQUIRED_TRIP_COLUMNS)
+    store.write("rejected_trips", damaged.unionByName(dropped, allowMissingColumns=True))
+    store.write("rejected_files", scan.rejected_files)
+
+
 def load_recent(store: TableStore, trips: DataFrame, seeded: bool = True, per_station: bool = False) -> bool:
     """Append the features of recent trips that are newer than the stored ones.
 
@@ -130,3 +142,26 @@ def infer(store: TableStore, registry: ModelRegistry, stations: Sequence[str] =
     store.replace_partitions(PREDICTIONS, current_predictions(frame, registry, stations=stations), ["model"])
     store.replace_partitions(FORECASTS, future_forecast(frame, registry, stations=stations), ["model"])
     frame.unpersist()
+
+
+def write_reports(store: TableStore, out: str, as_of: datetime) -> None:
+    """All dashboard tables as CSV exports below ``out``; tables not there yet count as empty.
+
+    The comparisons show the labelled models only, without the naive baseline.
+    """
+    spark = store.spark
+    predictions = store.read(PREDICTIONS, schema=schemas.PREDICTIONS)
+    forecasts = store.read(FORECASTS, schema=schemas.FORECASTS)
+    metrics = store.read(METRICS, version=None, schema=schemas.MODEL_METRICS).where(F.col("model").isin(*STRATEGIES))
+    short, long = model_dim(spark, long_labels=False), model_dim(spark)
+    tables = {
+        "daily_actual_vs_predicted": reports.daily_actual_vs_predicted(predictions),
+        "forecast_bins": reports.forecast_bins(forecasts),
+        "mae_table": reports.mae_table(metrics, station_dim(spark), long),
+        "model_ranking": reports.model_ranking(metrics, short),
+        "best_models": reports.best_models(metrics),
+        "recent_daily": reports.recent_daily(predictions, as_of, long),
+        "forecast_bins_by_model": reports.forecast_bins_by_model(forecasts, long),
+    }
+    for name, table in tables.items():
+        export_csv(table, f"{out}/{name}")

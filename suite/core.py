@@ -179,6 +179,18 @@ def _(spark, sf):
     return filters.for_stations(t.hourly(spark, sf), t.station_names(spark))
 
 
+@query(
+    "p15_station_by_name",
+    sql(
+        "SELECT station_id, hour, rides FROM hourly JOIN stations USING (station_id) WHERE station_name = 'Purchase Plaza'",
+        "hourly",
+        "stations",
+    ),
+)
+def _(spark, sf):
+    return filters.for_station_name(t.hourly(spark, sf), t.station_names(spark), "Purchase Plaza")
+
+
 _OLD = "hour < TIMESTAMP '2024-01-20'"
 
 

@@ -10,17 +10,17 @@ from pyspark.sql import functions as F
 
 from stationflow.operators.series import feature_table, feature_table_after
 from stationflow.operators.trips import hourly_counts
+from stationflow.plans import jobs
 from stationflow.schemas import HOURLY_FEATURES, HOURLY_RIDES
 from stationflow.session import scratch
 from stationflow.sources import archives, calendar, trip_csv
 from stationflow.sources.store import TableStore
 from suite import tables as t
-from suite.tables import Query, sql
+from suite.tables import SPLIT, Query, sql
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
-SPLIT = "2024-01-20"
 _RAW = "ride_id, started_at, ended_at, start_station_id, end_station_id"
 RAW_COLUMNS = _RAW.split(", ")
 
@@ -228,6 +228,32 @@ def _(spark, sf):
     return store.read("features", schema=HOURLY_FEATURES)
 
 
+@query(
+    "t1_batch_features",
+    sql(
+        """SELECT * FROM features_old
+UNION ALL SELECT * FROM features_new WHERE hour > (SELECT max(hour) FROM features_old)""",
+        "features_old",
+        "features_new",
+    ),
+)
+def _(spark, sf):
+    """The same without seeding: the batch loses its own first 28 hours of each station."""
+    store = TableStore(spark, scratch(spark, "unseeded"))
+    rides = t.hourly(spark, sf)
+    store.write("features", feature_table(rides.where(before())))
+    store.append_newer("features", feature_table(rides.where(~before())))
+    return store.read("features")
+
+
+@query("t4_bootstrap", sql("SELECT * FROM features_clean", "features_clean"))
+def _(spark, sf):
+    """Raw trips to a stored feature table in one job."""
+    store = TableStore(spark, scratch(spark, "history"))
+    jobs.load_history(store, t.raw_trips(spark, sf))
+    return store.read(jobs.FEATURES)
+
+
 @query(
     "t2_overwrite_partition",
     sql(

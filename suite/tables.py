@@ -26,6 +26,9 @@ STATION_NAMES = {
     # "view" has no name on purpose: its lookups give null.
 }
 
+# Rows before this day count as stored, the others as a new batch.
+SPLIT = "2024-01-20"
+
 # The stand-in models with closed forms; "mean28" has no entry on purpose.
 MODELS = (
     ("naive_lag1", "Naive Model", "Naive"),
@@ -155,6 +158,8 @@ FROM parsed WHERE started_at IS NOT NULL AND ended_at IS NOT NULL
         """SELECT CAST(user_id AS VARCHAR) AS station_id, date_trunc('hour', ts) AS hour, count(*) AS rides
 FROM events GROUP BY 1, 2""",
     ),
+    "hourly_old": (("hourly",), f"SELECT * FROM hourly WHERE hour < TIMESTAMP '{SPLIT}'"),
+    "hourly_new": (("hourly",), f"SELECT * FROM hourly WHERE hour >= TIMESTAMP '{SPLIT}'"),
     "hourly_clean": (
         ("clean",),
         """SELECT start_station_id AS station_id, date_trunc('hour', started_at) AS hour, count(*) AS rides
@@ -183,7 +188,7 @@ def _feature_ctes(suffix: str) -> dict[str, tuple[tuple[str, ...], str]]:
     }
 
 
-for _suffix in ("", "_user", "_clean"):
+for _suffix in ("", "_user", "_clean", "_old", "_new"):
     _CTES.update(_feature_ctes(_suffix))
 
 _CTES.update(
