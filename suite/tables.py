@@ -29,6 +29,8 @@ STATION_NAMES = {
 # Rows before this day count as stored, the others as a new batch.
 SPLIT = "2024-01-20"
 
+_SUM28 = " + ".join(lag_names())
+
 # The stand-in models with closed forms; "mean28" has no entry on purpose.
 MODELS = (
     ("naive_lag1", "Naive Model", "Naive"),
@@ -81,8 +83,6 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The models are columns of one pass over the frame, turned into rows afterwards.
     """
-    lags = lag_names()
-    mean28 = sum((F.col(c) for c in lags[1:]), F.col(lags[0])) / len(lags)
     wide = (
         training(spark, sf_dir)
         .where(~F.col("is_train"))
@@ -92,7 +92,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("rides").alias("actual_rides"),
             F.col("lag_1").cast("double").alias("naive_lag1"),
             F.col("lag_24").cast("double").alias("lag24"),
-            mean28.alias("mean28"),
+            F.expr(f"({_SUM28}) / 28").alias("mean28"),
         )
     )
     return wide.unpivot(
@@ -122,7 +122,6 @@ _LAGS = ", ".join(f"lag(rides, {i}) OVER w AS lag_{i}" for i in range(1, 29))
 LAG_LIST = ", ".join(lag_names())
 _NAMES = ", ".join(f"('{k}', '{v}')" for k, v in sorted(STATION_NAMES.items()))
 _MODELS = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in MODELS)
-_SUM28 = " + ".join(lag_names())
 
 # Name, the names it reads, its text.
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {

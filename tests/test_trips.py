@@ -2,7 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from stationflow.functions.times import floor_hours, lenient_time, monday_weekday, strict_time, strip_fraction
+from stationflow.functions.times import floor_hour, floor_hours, lenient_time, monday_weekday, strict_time, strip_fraction
 from stationflow.operators.trips import clean_trips, hourly_counts, rejected_trips, trips_per_year
 from stationflow.schemas import TRIPS_RAW
 
@@ -61,6 +61,13 @@ def test_monday_is_zero(spark):
     assert df.select(monday_weekday("t").alias("d")).first()["d"] == 0
 
 
+def test_whole_hours(spark):
+    times = ["1969-12-31 23:59:59.5", "1970-01-01 00:00:00", "2024-02-29 10:59:59.999999"]
+    df = spark.createDataFrame([(t,) for t in times], "t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    expected = F.date_trunc("hour", "t").cast("timestamp_ntz")
+    assert df.where(floor_hour("t") == expected).count() == 3
+
+
 def test_six_hour_bins(spark):
     df = spark.sql("SELECT timestamp_ntz'2024-01-01 17:59:59' AS t")
     assert df.select(floor_hours("t", 6).alias("b")).first()["b"] == datetime(2024, 1, 1, 12)
