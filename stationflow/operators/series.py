@@ -72,17 +72,13 @@ def feature_table(hourly: DataFrame, n_lags: int = DEFAULTS.n_lags) -> DataFrame
     return add_calendar(add_lags(hourly, n_lags)).dropna("any")
 
 
-def feature_table_after(hourly: DataFrame, stored: DataFrame, n_lags: int = DEFAULTS.n_lags) -> DataFrame:
-    """Features of a new batch, its first lags taken from the end of the stored series.
+def features_after(fresh: DataFrame, lead_in: DataFrame, n_lags: int = DEFAULTS.n_lags) -> DataFrame:
+    """Features of new hourly rows whose first lags come from ``lead_in``, the rows before them.
 
-    Without the stored rows a batch would lose its first ``n_lags`` hours again.  The batch may
-    repeat hours that are stored; the batch's count wins.
+    Without the lead-in a batch would lose the first ``n_lags`` hours of each station again.
     """
     columns = ["station_id", "hour", "rides"]
-    start = hourly.groupBy("station_id").agg(F.min("hour").alias("_start"))
-    earlier = stored.select(columns).join(start, "station_id").where(F.col("hour") < F.col("_start"))
-    lead_in = last_rows(earlier.select(columns), n_lags)
-    both = hourly.select(*columns, F.lit(True).alias("_new")).unionByName(
+    both = fresh.select(*columns, F.lit(True).alias("_new")).unionByName(
         lead_in.select(*columns, F.lit(False).alias("_new"))
     )
     return add_calendar(add_lags(both, n_lags)).where("_new").drop("_new").dropna("any")

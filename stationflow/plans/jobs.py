@@ -15,14 +15,16 @@ from stationflow.functions.dims import model_dim, station_dim
 from stationflow.models.forecast import recursive_trees
 from stationflow.models.registry import ModelRegistry, selected_features, split_importance, top_features
 from stationflow.models.trees import STRATEGIES, TreeParams, explained_variance, fit_stations, predict
+from stationflow.operators.filters import newer_than, newer_than_per_station
 from stationflow.operators.metrics import NAIVE_MODEL, mae, metrics_table, naive_baseline
-from stationflow.operators.series import feature_table, feature_table_after, seed_state, training_frame
+from stationflow.operators.series import feature_table, features_after, last_rows, seed_state, training_frame
 from stationflow.operators.trips import clean_trips, hourly_counts, rejected_trips
 from stationflow.plans import reports
 from stationflow.sources.store import TableStore
 from stationflow.sources.trip_csv import SOURCE, TripScan, export_csv
 
 FEATURES = "hourly_features"
+TAIL = "series_end"
 METRICS = "model_metrics"
 PREDICTIONS = "predictions"
 FORECASTS = "forecasts"
@@ -32,8 +34,16 @@ STRATEGY_NAMES = {"lag28": "all_lags", "topk": "top_k", "pca": "pca_reduction"}
 
 
 def load_history(store: TableStore, trips: DataFrame) -> None:
-    """Raw trips to the feature table, as one plan."""
-    store.write(FEATURES, feature_table(hourly_counts(clean_trips(trips))))
+    """Raw trips to the feature table, and the end of each series beside it."""
+    store_history(store, hourly_counts(clean_trips(trips)))
+
+
+def store_history(store: TableStore, hourly: DataFrame) -> None:
+    # Two tables come from the counts; the trips behind them are read once.
+    hourly.persist()
+    store.write(FEATURES, feature_table(hourly))
+    store.write(TAIL, last_rows(hourly, DEFAULTS.n_lags).drop("rn"))
+    hourly.unpersist()
 
 
 def keep_rejects(store: TableStore, scan: TripScan) -> None:
@@ -47,12 +57,37 @@ def keep_rejects(store: TableStore, scan: TripScan) -> None:
 def load_recent(store: TableStore, trips: DataFrame, seeded: bool = True, per_station: bool = False) -> bool:
     """Append the features of recent trips that are newer than the stored ones.
 
-    ``seeded`` takes the first lags of the batch from the stored series; without it the batch
-    loses its own first 28 hours of each station.
+    ``seeded`` takes the first lags of the batch from the end of the stored series; without it the
+    batch loses its own first 28 hours of each station.
     """
     hourly = hourly_counts(clean_trips(trips))
-    batch = feature_table_after(hourly, store.read(FEATURES)) if seeded else feature_table(hourly)
-    return store.append_newer(FEATURES, batch, per_station=per_station)
+    if not seeded:
+        return store.append_newer(FEATURES, feature_table(hourly), per_station=per_station)
+    return store_recent(store, hourly, per_station)
+
+
+def store_recent(store: TableStore, hourly: DataFrame, per_station: bool = False) -> bool:
+    """Append features of the hours after the stored ones; False if there are none.
+
+    Reads the end of each series (28 rows a station) and not the feature table, whose size would
+    otherwise set the cost of every batch.  Feature rows later than that end, left by a load that
+    was cut off, count too: the filter on ``hour`` skips all older files.  The end also keeps the
+    first hours of new stations, which have no features yet.
+    """
+    columns = ["station_id", "hour", "rides"]
+    tail = store.read(TAIL, version=None)
+    end = F.lit(tail.agg(F.max("hour")).first()[0]).cast("timestamp_ntz")
+    known = tail.unionByName(store.read(FEATURES).where(F.col("hour") > end).select(columns))
+    fresh = newer_than_per_station(hourly, known) if per_station else newer_than(hourly, known)
+    fresh = fresh.persist()
+    found = not fresh.isEmpty()
+    if found:
+        lead_in = last_rows(known, DEFAULTS.n_lags).select(columns)
+        store.append(FEATURES, features_after(fresh, lead_in))
+        ends = last_rows(known.unionByName(fresh.select(columns)), DEFAULTS.n_lags).select(columns)
+        store.write(TAIL, ends, store.latest(TAIL) + 1)
+    fresh.unpersist()
+    return found
 
 
 def current_frame(store: TableStore) -> DataFrame:

@@ -24,13 +24,17 @@ def newest_files(spark: SparkSession, pattern: str, n: int) -> list[str]:
     return [row["path"] for row in newest.select("path").collect()]
 
 
+# A listing with more rows than this gives several rows to a task.
+MOST_TASKS = 20_000
+
+
 def one_task_each(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Spread a listing over as many tasks as it has rows.
 
     The number is stated because AQE would otherwise merge the listing, a few bytes a row, into
     one task that then opens every file.
     """
-    return rows.repartition(max(1, rows.count()), *keys)
+    return rows.repartition(min(max(1, rows.count()), MOST_TASKS), *keys)
 
 
 def filesystem_of(uri: str) -> tuple[fs.FileSystem, str]:

@@ -114,9 +114,12 @@ class TableStore:
             fresh = rows.where(F.col(time) > F.lit(mark).cast(kind))
         if order:
             fresh = keep_last(fresh, keys, order)
-        fresh.select(stored.columns).write.mode("append").parquet(self.path(name, version))
+        self.append(name, fresh.select(stored.columns), version)
         return True
 
+    def append(self, name: str, rows: DataFrame, version: int = 1) -> None:
+        rows.write.mode("append").parquet(self.path(name, version))
+
     def upsert(self, name: str, rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> int:
         """Merge rows by key into a new version and return its number.
 

@@ -84,7 +84,7 @@ def scan_trip_files(
         files = list_files(spark, list(files))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     unusable: list[tuple[str, str]] = []
-    for row in file_headers(files).toLocalIterator():
+    for row in file_headers(files).collect():
         header = tuple(row["header"])
         missing = [name for name in required if name not in header]
         if missing:

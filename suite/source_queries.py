@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stationflow.operators.series import feature_table, feature_table_after
-from stationflow.operators.trips import hourly_counts
+from stationflow.operators.series import feature_table
 from stationflow.plans import jobs
 from stationflow.schemas import HOURLY_FEATURES, HOURLY_RIDES
 from stationflow.session import scratch
@@ -35,8 +34,8 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
-def before(time: str = "hour"):
-    return F.col(time) < F.lit(SPLIT).cast("timestamp_ntz")
+def before(time: str = "hour", day: str = SPLIT):
+    return F.col(time) < F.lit(day).cast("timestamp_ntz")
 
 
 def text_columns(df):
@@ -216,16 +215,18 @@ def _(spark, sf):
     return store.read("rides")
 
 
-@query("t1_seeded_features", sql("SELECT * FROM features", "features"))
+@query("t1_seeded_features", sql("SELECT * FROM features_user", "features_user"))
 def _(spark, sf):
-    """History and a later batch: with seeded lags the result equals one run over everything."""
+    """History, then two batches that repeat stored hours: the same table as one run over all.
+
+    Many stations are still in their first 28 hours when a batch ends.
+    """
     store = TableStore(spark, scratch(spark, "seeded"))
-    old = hourly_counts(t.events(spark, sf).where(before("ts")), "event_type", "ts")
-    new = hourly_counts(t.events(spark, sf).where(~before("ts")), "event_type", "ts")
-    store.write("features", feature_table(old))
-    # The stored table starts at the 29th hour, and the batch needs the 28 before its first.
-    store.append_newer("features", feature_table_after(new, store.read("features")))
-    return store.read("features", schema=HOURLY_FEATURES)
+    rides = t.hourly(spark, sf, "user_id")
+    jobs.store_history(store, rides.where(before("hour", "2024-01-10")))
+    jobs.store_recent(store, rides.where(before()))
+    jobs.store_recent(store, rides.where(~before("hour", "2024-01-10")))
+    return store.read(jobs.FEATURES, schema=HOURLY_FEATURES)
 
 
 @query(

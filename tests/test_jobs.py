@@ -1,14 +1,16 @@
 """The commands from archives to reports, on trips made from the test events."""
 
 import sys
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from stationflow import __main__ as cli
 from stationflow.config import DEFAULTS
+from stationflow.operators.series import feature_table, features_after
 from stationflow.plans import jobs
+from stationflow.schemas import HOURLY_RIDES
 from stationflow.sources.store import TableStore
 from stationflow.sources.trip_csv import export_csv
 from suite import source_queries, tables
@@ -61,6 +63,36 @@ def test_archives_to_reports(spark, sf_dir, tmp_path, command, capsys):
     }
 
 
+def hours(spark, station, first, last):
+    rows = [(station, datetime(2024, 1, 1) + timedelta(hours=i), i) for i in range(first, last)]
+    return spark.createDataFrame(rows, HOURLY_RIDES)
+
+
+def test_batches_add_up_to_one_run(spark, tmp_path):
+    """Overlapping batches, a station that is new in the second one, and a load that was cut off."""
+    store = TableStore(spark, str(tmp_path))
+    jobs.store_history(store, hours(spark, "a", 0, 50))
+    assert jobs.store_recent(store, hours(spark, "a", 40, 60).unionByName(hours(spark, "new", 50, 60)))
+    # The next load dies after its features were appended: the series end is not updated.
+    fresh = hours(spark, "a", 60, 70)
+    store.append(jobs.FEATURES, features_after(fresh, store.read(jobs.TAIL, version=None)))
+    assert not jobs.store_recent(store, fresh)
+    assert jobs.store_recent(store, hours(spark, "a", 60, 90).unionByName(hours(spark, "new", 70, 90)))
+    whole = hours(spark, "a", 0, 90).unionByName(hours(spark, "new", 50, 60)).unionByName(hours(spark, "new", 70, 90))
+    got, expected = store.read(jobs.FEATURES), feature_table(whole)
+    assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+    assert not jobs.store_recent(store, whole)
+
+
+def test_slow_stations(spark, tmp_path):
+    for per_station, rows in ((False, 1), (True, 11)):
+        store = TableStore(spark, f"{tmp_path}/{per_station}")
+        jobs.store_history(store, hours(spark, "fast", 0, 60).unionByName(hours(spark, "slow", 0, 50)))
+        before = store.read(jobs.FEATURES).count()
+        jobs.store_recent(store, hours(spark, "slow", 50, 61), per_station)
+        assert store.read(jobs.FEATURES).count() == before + rows
+
+
 def test_reports_of_an_empty_store(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "store"))
     with pytest.warns(UserWarning):

@@ -116,14 +116,9 @@ def test_recursive_mean_by_hand(spark):
 
 def test_batch_lags_reach_into_the_stored_series(spark):
     everything = hours(spark, "a", 100)
-    cut = F.lit(START + timedelta(hours=60)).cast("timestamp_ntz")
-    overlap = F.lit(START + timedelta(hours=50)).cast("timestamp_ntz")
-    stored = series.feature_table(everything.where(F.col("hour") < cut))
-    # The batch repeats ten stored hours, as a batch of whole months does.
-    batch = series.feature_table_after(everything.where(F.col("hour") >= overlap), stored)
-    wanted = series.feature_table(everything)
-    late = newer_than(batch, stored)
-    same(late.select(wanted.columns), wanted.where(F.col("hour") >= cut))
+    old = F.col("hour") < F.lit(START + timedelta(hours=60)).cast("timestamp_ntz")
+    batch = series.features_after(everything.where(~old), series.last_rows(everything.where(old), 28))
+    same(batch, series.feature_table(everything).where(~old).select(batch.columns))
 
 
 def test_high_water_mark_is_global_unless_asked(spark):
