@@ -139,10 +139,11 @@ def _(spark, sf):
 
 @query(
     "a10_series_length",
-    sql("SELECT station_id, count(*) AS n FROM hourly_user GROUP BY 1 HAVING count(*) < 28", "hourly_user"),
+    sql("SELECT station_id, count(*) AS n FROM training_user GROUP BY 1 HAVING count(*) < 28", "training_user"),
 )
 def _(spark, sf):
-    return series.short_series(t.hourly(spark, sf, "user_id"))
+    """Stations whose training frame is too short for a forecast."""
+    return series.short_series(t.training(spark, sf, "user_id"))
 
 
 @query(
