@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stationflow.llm import quality, simhash
+from stationflow.llm import pii, quality, simhash
 from stationflow.llm.common import table, table_or_none
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,9 +21,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table_or_none(spark, sf_dir, "labels"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.learn(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
+    "op5_pii": op5_pii,
 }
 
 SQL: dict[str, str] = {}
