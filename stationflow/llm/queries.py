@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stationflow.llm import pii, quality, simhash
+from stationflow.llm import mixing, pii, quality, simhash
 from stationflow.llm.common import table, table_or_none
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,10 +26,15 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.learn(docs))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
     "op5_pii": op5_pii,
+    "op6_mixing": op6_mixing,
 }
 
 SQL: dict[str, str] = {}
