@@ -11,6 +11,8 @@ from stationflow.session import prepare, scratch, shared_root
 # bound is the one that keeps a worker's memory flat.
 BATCH_ROWS = 1024
 BATCH_BYTES = 16 << 20
+# Estimates from here on stand for an input whose size Spark does not know.
+UNKNOWN_BYTES = 1 << 58
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -54,5 +56,6 @@ def fixed(df: DataFrame, label: str) -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Size of the input as the optimizer knows it (file sizes for a scanned table)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    """Size of the input as the optimizer knows it (file sizes for a scanned table), 0 if it does not."""
+    found = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return 0 if found >= UNKNOWN_BYTES else found

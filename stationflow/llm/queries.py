@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stationflow.llm import mixing, pii, quality, simhash
+from stationflow.llm import mixing, pieces, pii, quality, simhash
 from stationflow.llm.common import table, table_or_none
 
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -30,11 +33,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), pieces.Model.load(PIECE_MODEL))
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
     "op5_pii": op5_pii,
     "op6_mixing": op6_mixing,
+    "op8_sentencepiece": op8_sentencepiece,
 }
 
 SQL: dict[str, str] = {}
