@@ -31,7 +31,7 @@ SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, BYTE, USER_DEFINED = 1, 6, 4
 # A unit's segmentation is a 64-bit set of its cuts; longer units go through the library itself.
-LONGEST_UNIT = 62
+LONGEST_UNIT = 61
 UNKNOWN_PENALTY = 10.0
 # Units shipped with the tasks that look them up; they have at most HEAD_CHARS characters.
 HEAD_UNITS = 400_000
