@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stationflow.llm import langid, licenses, mixing, pieces, pii, quality, simhash, token_files, warc
+from stationflow.llm import ann, langid, licenses, mixing, pieces, pii, quality, simhash, token_files, warc
 from stationflow.llm.common import table, table_or_none
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -43,6 +43,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), pieces.Model.load(PIECE_MODEL))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op4_license_scan": op4_license_scan,
     "op5_pii": op5_pii,
     "op6_mixing": op6_mixing,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
