@@ -1,5 +1,6 @@
 """The jobs as commands for ``spark-submit`` or ``python -m stationflow``.
 
+    plan-fetch   --prefix P --suffix S --have 'zips/*.zip' --first 2024-01-01 --last 2024-06-30 --out plan/
     unpack       --archives 'zips/*.zip' --raw raw/
     load-history --raw 'raw/JC-*.csv' --store store/
     load-recent  --raw 'raw/JC-*.csv' --store store/ [--files 2]
@@ -21,14 +22,16 @@ from stationflow.models.trees import TreeParams
 from stationflow.plans import jobs
 from stationflow.session import prepare
 from stationflow.sources.archives import extract_archives
+from stationflow.sources.calendar import fetch_plan
 from stationflow.sources.store import TableStore
-from stationflow.sources.trip_csv import scan_newest_trips, scan_trips
+from stationflow.sources.trip_csv import export_csv, scan_newest_trips, scan_trips
 
 
 def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="stationflow")
     commands = parser.add_subparsers(dest="command", required=True)
     needs = {
+        "plan-fetch": ("prefix", "suffix", "have", "first", "last", "out"),
         "unpack": ("archives", "raw"),
         "load-history": ("raw", "store"),
         "load-recent": ("raw", "store"),
@@ -53,6 +56,11 @@ def main() -> None:
     args = arguments()
     spark = prepare(SparkSession.builder.appName(f"stationflow {args.command}").getOrCreate())
     now = datetime.now(timezone.utc).replace(tzinfo=None)
+    if args.command == "plan-fetch":
+        plan = fetch_plan(spark, args.prefix, args.suffix, args.have, args.first, args.last)
+        export_csv(plan, args.out)
+        plan.orderBy("month").show(1000, truncate=False)
+        return
     if args.command == "unpack":
         extract_archives(spark, args.archives, args.raw).where("error IS NOT NULL").show(truncate=False)
         return
@@ -60,7 +68,7 @@ def main() -> None:
     if args.command in ("load-history", "load-recent"):
         history = args.command == "load-history"
         scan = scan_trips(spark, args.raw) if history else scan_newest_trips(spark, args.raw, args.files)
-        jobs.keep_rejects(store, scan)
+        jobs.keep_rejects(store, scan, f"{args.command} {now:%Y-%m-%d %H-%M-%S-%f}")
         if history:
             jobs.load_history(store, scan.rows)
         else:
@@ -70,7 +78,7 @@ def main() -> None:
     else:
         registry, stations = ModelRegistry(spark, args.models), args.stations.split(",")
         if args.command == "train":
-            jobs.train_naive(store, now)
+            jobs.train_naive(store, now, registry)
             jobs.train(store, registry, now, stations, TreeParams(trees=args.trees))
         else:
             jobs.infer(store, registry, stations)

@@ -6,9 +6,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from stationflow.config import DEFAULTS
+from stationflow.config import DEFAULTS, lag_names
 from stationflow.operators.series import hours_after
-from stationflow.schemas import FORECASTS
+from stationflow.schemas import FORECASTS, PREDICTIONS
 
 
 def _spread(seeds: DataFrame, values, model: str) -> DataFrame:
@@ -57,19 +57,71 @@ class _Trees:
         self.weight = grid("tree_weight", np.float64)[:, 0]
         self.rows = np.arange(shape[0])
 
-    def predict(self, x: np.ndarray) -> float:
-        """All trees descend together, one level per turn, until each is at a leaf."""
-        at = np.zeros(len(self.rows), np.int64)
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        """One value per row of ``x``; all trees descend together, one level per turn, until each is at a leaf."""
+        at = np.zeros((len(x), len(self.rows)), np.int64)
         while True:
             feature = self.feature[self.rows, at]
             inner = feature >= 0
             if not inner.any():
-                return float(self.weight @ self.value[self.rows, at])
-            low = x[np.where(inner, feature, 0)] <= self.threshold[self.rows, at]
+                return self.value[self.rows, at] @ self.weight
+            value = np.take_along_axis(x, np.where(inner, feature, 0), axis=1)
+            low = value <= self.threshold[self.rows, at]
             child = np.where(low, self.left[self.rows, at], self.right[self.rows, at])
             at = np.where(inner, child, at)
 
 
+class _Inputs:
+    """What a model makes of the last values of a series, newest first."""
+
+    def __init__(self, state: pd.Series):
+        self.selected = None if state["selected"] is None else np.asarray(state["selected"], np.int64)
+        self.mean = self.loadings = None
+        if state["loadings"] is not None:
+            self.mean = np.asarray(state["mean"], np.float64)
+            self.loadings = np.asarray(state["loadings"], np.float64).reshape(-1, len(self.mean))
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        if self.selected is not None:
+            return x[:, self.selected]
+        if self.loadings is not None:
+            return (x - self.mean) @ self.loadings.T
+        return x
+
+
+def _none(schema) -> pd.DataFrame:
+    kinds = {"string": "object", "timestamp_ntz": "datetime64[us]", "bigint": "int64", "double": "float64"}
+    return pd.DataFrame({f.name: pd.Series(dtype=kinds[f.dataType.simpleString()]) for f in schema.fields})
+
+
+def predict_by_nodes(frame: DataFrame, nodes: DataFrame, inputs: DataFrame) -> DataFrame:
+    """Predictions of every model for every row of its station, as one job over one scan of ``frame``.
+
+    ``nodes`` and ``inputs`` are as in ``recursive_trees``.  A group is one model and the hourly rows
+    of its station, which the calendar bounds.  Stations without a model get no rows.
+    """
+    lags = lag_names()
+    columns = [field.name for field in PREDICTIONS.fields]
+
+    def run(key: tuple, rows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or model.empty:
+            return _none(PREDICTIONS)
+        x = _Inputs(rows.iloc[0]).of(rows[lags].to_numpy(np.float64))
+        return pd.DataFrame(
+            {
+                "model": key[1],
+                "station_id": key[0],
+                "hour": rows["hour"],
+                "actual_rides": rows["rides"],
+                "predicted_rides": _Trees(model).predict(x),
+            }
+        )[columns]
+
+    keys = ("station_id", "strategy")
+    rows = frame.select("station_id", "hour", "rides", *lags).join(inputs.drop("version"), "station_id")
+    return rows.groupBy(*keys).cogroup(nodes.groupBy(*keys)).applyInPandas(run, PREDICTIONS)
+
+
 def recursive_trees(
     seeds: DataFrame, nodes: DataFrame, inputs: DataFrame, hours: int = DEFAULTS.horizon_hours
 ) -> DataFrame:
@@ -86,27 +138,15 @@ def recursive_trees(
     def run(key: tuple, seed: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
         columns = [field.name for field in FORECASTS.fields]
         if seed.empty or model.empty:
-            return pd.DataFrame(columns=columns).astype(
-                {"predicted_rides": "float64", "hour": "datetime64[us]", "model": "object", "station_id": "object"}
-            )
+            return _none(FORECASTS)
         state = seed.iloc[0]
         n_state = len(state["recent"])
         known = np.empty(n_state + hours)
         # Newest first: position `start` holds the latest value.
         known[hours:] = state["recent"]
-        selected = None if state["selected"] is None else np.asarray(state["selected"], np.int64)
-        loadings = mean = None
-        if state["loadings"] is not None:
-            mean = np.asarray(state["mean"], np.float64)
-            loadings = np.asarray(state["loadings"], np.float64).reshape(-1, len(mean))
-        trees = _Trees(model)
+        own, trees = _Inputs(state), _Trees(model)
         for start in range(hours, 0, -1):
-            x = known[start : start + n_state]
-            if selected is not None:
-                x = x[selected]
-            elif loadings is not None:
-                x = loadings @ (x - mean)
-            known[start - 1] = trees.predict(x)
+            known[start - 1] = trees.predict(own.of(known[None, start : start + n_state]))[0]
         first = pd.Timestamp(state["last_hour"]) + pd.Timedelta(hours=1)
         return pd.DataFrame(
             {

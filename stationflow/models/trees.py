@@ -14,6 +14,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from stationflow.config import DEFAULTS, lag_names
+from stationflow.schemas import PREDICTIONS
 
 STRATEGIES = ("lag28", "topk", "pca")
 
@@ -125,6 +126,8 @@ def predict(frame: DataFrame, models: dict[str, PipelineModel], model: str, test
                 "predicted_rides",
             )
         )
+    if not parts:
+        return frame.sparkSession.createDataFrame([], PREDICTIONS)
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)

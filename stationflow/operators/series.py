@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from stationflow.config import DEFAULTS, lag_names
 from stationflow.functions.times import monday_weekday
@@ -144,13 +144,27 @@ def short_series(series: DataFrame, n: int = DEFAULTS.n_lags) -> DataFrame:
     return series.groupBy("station_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < n)
 
 
-def keep_last(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+# Types that a hash aggregate can keep in place.
+_FIXED_WIDTH = (
+    T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType, T.TimestampType,
+    T.TimestampNTZType,
+)
+
+
+def keep_last(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], distinct_order: bool = False) -> DataFrame:
     """One row per key: the one that sorts last by ``order``.
 
     An aggregate instead of a row number: each task keeps one row per key before the shuffle, so
     a key with a third of all rows is no hot spot.  ``order`` should have no ties within a key.
+
+    A struct is kept for the row, for which Spark sorts the rows of each task by key.  With
+    ``distinct_order`` the caller states that one order column has no ties within a key: if all
+    other columns have a fixed width, each is kept by itself in a hash aggregate, without any sort.
     """
     rest = [c for c in rows.columns if c not in keys]
+    one = len(order) == 1 and isinstance(order[0], str)
+    if distinct_order and one and all(isinstance(rows.schema[c].dataType, _FIXED_WIDTH) for c in (*rest, *order)):
+        return rows.groupBy(*keys).agg(*(F.max_by(c, order[0]).alias(c) for c in rest)).select(rows.columns)
     last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
     return rows.groupBy(*keys).agg(last).select(*keys, "_last.*").select(rows.columns)
 

@@ -11,93 +11,135 @@ from pyspark.sql import DataFrame, functions as F
 
 from stationflow import schemas
 from stationflow.config import DEFAULTS, REQUIRED_TRIP_COLUMNS
-from stationflow.functions.dims import model_dim, station_dim
-from stationflow.models.forecast import recursive_trees
+from stationflow.functions.dims import literal_dim, model_dim, station_dim
+from stationflow.models.forecast import predict_by_nodes, recursive_trees
 from stationflow.models.registry import ModelRegistry, selected_features, split_importance, top_features
 from stationflow.models.trees import STRATEGIES, TreeParams, explained_variance, fit_stations, predict
 from stationflow.operators.filters import newer_than, newer_than_per_station
 from stationflow.operators.metrics import NAIVE_MODEL, mae, metrics_table, naive_baseline
-from stationflow.operators.series import feature_table, features_after, last_rows, seed_state, training_frame
+from stationflow.operators.series import feature_table, features_after, last_rows, naive_predictions, seed_state, training_frame
 from stationflow.operators.trips import clean_trips, hourly_counts, rejected_trips
 from stationflow.plans import reports
+from stationflow.session import fixed
 from stationflow.sources.store import TableStore
 from stationflow.sources.trip_csv import SOURCE, TripScan, export_csv
 
 FEATURES = "hourly_features"
 TAIL = "series_end"
+LOADS = "loads"
+LOAD = "load_id"
 METRICS = "model_metrics"
 PREDICTIONS = "predictions"
 FORECASTS = "forecasts"
 
-# Strategy names in the metrics table.
+CONSTANT_MODELS = "constant_models"
+NOT_FORECAST = "not_forecast"
+
+# Strategy names in the metrics table.
 STRATEGY_NAMES = {"lag28": "all_lags", "topk": "top_k", "pca": "pca_reduction"}
 
 
+def _state(store: TableStore):
+    """What the last committed load left: its number, and the version of the feature table it belongs to."""
+    return store.read(LOADS, version=None).first()
+
+
+def _next_load(store: TableStore) -> int:
+    return max(store.versions(LOADS), default=0) + 1
+
+
+def _commit(store: TableStore, load: int, features_version: int) -> None:
+    """One small table version makes a load's features and series end valid together."""
+    row = store.spark.range(1).select(F.lit(load).alias(LOAD), F.lit(features_version).alias("features_version"))
+    store.write(LOADS, row, load)
+
+
+def features(store: TableStore) -> DataFrame:
+    """The feature rows of all committed loads."""
+    state = _state(store)
+    rows = store.read(FEATURES, state["features_version"])
+    return rows.where(F.col(LOAD) <= state[LOAD]).drop(LOAD)
+
+
+def series_end(store: TableStore) -> DataFrame:
+    """The last rows of each series after the last committed load."""
+    return store.read(TAIL, _state(store)[LOAD])
+
+
 def load_history(store: TableStore, trips: DataFrame) -> None:
     """Raw trips to the feature table, and the end of each series beside it."""
     store_history(store, hourly_counts(clean_trips(trips)))
 
 
 def store_history(store: TableStore, hourly: DataFrame) -> None:
+    """Start the feature table anew; readers see the old one until the new one is committed."""
+    load = _next_load(store)
     # Two tables come from the counts; the trips behind them are read once.
-    hourly.persist()
-    store.write(FEATURES, feature_table(hourly))
-    store.write(TAIL, last_rows(hourly, DEFAULTS.n_lags).drop("rn"))
-    hourly.unpersist()
+    hourly = fixed(hourly, "hourly")
+    store.write(FEATURES, feature_table(hourly).withColumn(LOAD, F.lit(load)), load, [LOAD])
+    store.write(TAIL, last_rows(hourly, DEFAULTS.n_lags).drop("rn"), load)
+    _commit(store, load, load)
 
 
-def keep_rejects(store: TableStore, scan: TripScan) -> None:
-    """Store what the scan set aside: damaged rows, rows the clean-up drops, unusable files."""
+def keep_rejects(store: TableStore, scan: TripScan, run: str) -> None:
+    """Store what the scan of one run set aside, under the run's name, beside what earlier runs did."""
     dropped = rejected_trips(scan.rows).select(SOURCE, "reason", *REQUIRED_TRIP_COLUMNS)
     damaged = scan.rejected_rows.select(SOURCE, "reason", "line", *REQUIRED_TRIP_COLUMNS)
-    store.write("rejected_trips", damaged.unionByName(dropped, allowMissingColumns=True))
-    store.write("rejected_files", scan.rejected_files)
+    rows = damaged.unionByName(dropped, allowMissingColumns=True)
+    store.append("rejected_trips", rows.withColumn("run", F.lit(run)))
+    store.append("rejected_files", scan.rejected_files.withColumn("run", F.lit(run)))
 
 
 def load_recent(store: TableStore, trips: DataFrame, seeded: bool = True, per_station: bool = False) -> bool:
-    """Append the features of recent trips that are newer than the stored ones.
-
-    ``seeded`` takes the first lags of the batch from the end of the stored series; without it the
-    batch loses its own first 28 hours of each station.
-    """
-    hourly = hourly_counts(clean_trips(trips))
-    if not seeded:
-        return store.append_newer(FEATURES, feature_table(hourly), per_station=per_station)
-    return store_recent(store, hourly, per_station)
+    """Append the features of recent trips that are newer than the stored ones."""
+    return store_recent(store, hourly_counts(clean_trips(trips)), per_station, seeded)
 
 
-def store_recent(store: TableStore, hourly: DataFrame, per_station: bool = False) -> bool:
+def store_recent(store: TableStore, hourly: DataFrame, per_station: bool = False, seeded: bool = True) -> bool:
     """Append features of the hours after the stored ones; False if there are none.
 
     Reads the end of each series (28 rows a station) and not the feature table, whose size would
-    otherwise set the cost of every batch.  Feature rows later than that end, left by a load that
-    was cut off, count too: the filter on ``hour`` skips all older files.  The end also keeps the
-    first hours of new stations, which have no features yet.
+    otherwise set the cost of every batch.  The end also keeps the first hours of new stations,
+    which have no features yet.  ``seeded`` takes the first lags of the batch from that end; without
+    it the batch loses its own first 28 hours of each station.
+
+    The mark is the committed end alone.  A load that was cut off has committed nothing, so its
+    successor sees the same mark, has the same number and replaces what the other left.
     """
     columns = ["station_id", "hour", "rides"]
-    tail = store.read(TAIL, version=None)
-    end = F.lit(tail.agg(F.max("hour")).first()[0]).cast("timestamp_ntz")
-    known = tail.unionByName(store.read(FEATURES).where(F.col("hour") > end).select(columns))
-    fresh = newer_than_per_station(hourly, known) if per_station else newer_than(hourly, known)
-    fresh = fresh.persist()
-    found = not fresh.isEmpty()
-    if found:
-        lead_in = last_rows(known, DEFAULTS.n_lags).select(columns)
-        store.append(FEATURES, features_after(fresh, lead_in))
-        ends = last_rows(known.unionByName(fresh.select(columns)), DEFAULTS.n_lags).select(columns)
-        store.write(TAIL, ends, store.latest(TAIL) + 1)
-    fresh.unpersist()
-    return found
+    state = _state(store)
+    load = _next_load(store)
+    tail = store.read(TAIL, state[LOAD]).select(columns)
+    newer = newer_than_per_station if per_station else newer_than
+    fresh = fixed(newer(hourly, tail).select(columns), "fresh")
+    if fresh.isEmpty():
+        return False
+    added = features_after(fresh, tail) if seeded else newer(feature_table(hourly), tail)
+    store.replace_partitions(FEATURES, added.withColumn(LOAD, F.lit(load)), [LOAD], state["features_version"])
+    store.write(TAIL, last_rows(tail.unionByName(fresh), DEFAULTS.n_lags).select(columns), load)
+    _commit(store, load, state["features_version"])
+    return True
 
 
 def current_frame(store: TableStore) -> DataFrame:
     """The training frame of today's feature table."""
-    return training_frame(store.read(FEATURES, version=None))
-
-
-def train_naive(store: TableStore, run_ts: datetime) -> DataFrame:
-    """Score the naive baseline of every station and merge it into the metrics table."""
-    scores = naive_baseline(store.read(FEATURES)).select("station_id", F.lit(NAIVE_MODEL).alias("model"), "mae")
+    return training_frame(features(store))
+
+
+def train_naive(store: TableStore, run_ts: datetime, registry: ModelRegistry | None = None) -> DataFrame:
+    """Score the naive baseline of every station: metrics, predictions, constant model and run log."""
+    rows = features(store)
+    scores = fixed(naive_baseline(rows), "naive")
+    stamped = scores.select("station_id", "mean_rides", F.lit(run_ts).cast("timestamp").alias("run_ts"))
+    store.upsert(CONSTANT_MODELS, stamped, keys=("station_id",), order=("run_ts",))
+    predicted = naive_predictions(rows).select(
+        F.lit(NAIVE_MODEL).alias("model"), "station_id", "hour",
+        F.col("rides").alias("actual_rides"), F.col("predicted_rides").cast("double").alias("predicted_rides"),
+    )
+    store.replace_partitions(PREDICTIONS, predicted, ["model"])
+    scores = scores.select("station_id", F.lit(NAIVE_MODEL).alias("model"), "mae")
+    if registry is not None:
+        registry.log_runs(scores, NAIVE_MODEL, {"model": "previous row"}, run_ts)
     _merge_metrics(store, metrics_table(scores), run_ts)
     return scores
 
@@ -136,7 +178,7 @@ def train(
     for strategy in STRATEGIES:
         models = fit_strategy(registry, frame, strategy, stations, params, parallelism)
         scores = score(frame, models, strategy)
-        registry.log_runs(scores, strategy, asdict(params), run_ts)
+        registry.log_runs(scores, strategy, run_params(strategy, params), run_ts)
         tables.append(scores)
     metrics = reduce(lambda a, b: a.unionByName(b), tables)
     _merge_metrics(store, metrics, run_ts)
@@ -144,6 +186,12 @@ def train(
     return metrics
 
 
+def run_params(strategy: str, params: TreeParams) -> dict[str, object]:
+    """The settings of a run as the log keeps them."""
+    own = {"topk": {"top_k": DEFAULTS.top_k}, "pca": {"n_components": DEFAULTS.n_components}}.get(strategy, {})
+    return {**asdict(params), "n_lags": DEFAULTS.n_lags, **own}
+
+
 def score(frame: DataFrame, models: dict, strategy: str) -> DataFrame:
     """Metrics rows of one strategy on the test part."""
     scores = mae(predict(frame, models, strategy)).withColumn("strategy", F.lit(STRATEGY_NAMES[strategy]))
@@ -160,9 +208,9 @@ def _merge_metrics(store: TableStore, rows: DataFrame, run_ts: datetime) -> None
 
 
 def current_predictions(frame: DataFrame, registry: ModelRegistry, strategies=STRATEGIES, stations=DEFAULTS.stations):
-    """Test-window predictions of the newest stored models."""
-    parts = [predict(frame, registry.load_all(strategy, stations), strategy) for strategy in strategies]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """Test-window predictions of the newest stored models, all stations and strategies in one job."""
+    rows = frame.where(F.col("station_id").isin(*stations) & ~F.col("is_train"))
+    return predict_by_nodes(rows, registry.nodes(strategies, stations), registry.inputs(strategies, stations))
 
 
 def future_forecast(frame: DataFrame, registry: ModelRegistry, strategies=STRATEGIES, stations=DEFAULTS.stations):
@@ -171,11 +219,30 @@ def future_forecast(frame: DataFrame, registry: ModelRegistry, strategies=STRATE
     return recursive_trees(seeds, registry.nodes(strategies, stations), registry.inputs(strategies, stations))
 
 
+def not_forecast(frame: DataFrame, registry: ModelRegistry, strategies=STRATEGIES, stations=DEFAULTS.stations):
+    """``station_id, strategy, reason`` for every listed station that gets no forecast of a strategy."""
+    spark = frame.sparkSession
+    modelled = registry.inputs(strategies, stations).select("station_id", "strategy", F.lit(True).alias("modelled"))
+    wanted = literal_dim(spark, [(s, k) for s in stations for k in strategies], "station_id string, strategy string")
+    length = frame.where(F.col("station_id").isin(*stations)).groupBy("station_id").agg(F.count(F.lit(1)).alias("n"))
+    reason = (
+        F.when(F.col("n").isNull(), "no rows")
+        .when(F.col("n") < DEFAULTS.n_lags, f"fewer than {DEFAULTS.n_lags} rows")
+        .when(F.col("modelled").isNull(), "no model")
+    )
+    rows = wanted.join(length, "station_id", "left").join(modelled, ["station_id", "strategy"], "left")
+    return rows.select("station_id", "strategy", reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def infer(store: TableStore, registry: ModelRegistry, stations: Sequence[str] = DEFAULTS.stations) -> None:
-    """Refresh the prediction and forecast tables, replacing each model's partition."""
+    """Refresh the prediction and forecast tables, replacing each model's partition.
+
+    Listed stations without a forecast go into a table of their own with the reason.
+    """
     frame = current_frame(store).where(F.col("station_id").isin(*stations)).persist()
     store.replace_partitions(PREDICTIONS, current_predictions(frame, registry, stations=stations), ["model"])
     store.replace_partitions(FORECASTS, future_forecast(frame, registry, stations=stations), ["model"])
+    store.write(NOT_FORECAST, not_forecast(frame, registry, stations=stations), max(store.versions(NOT_FORECAST), default=0) + 1)
     frame.unpersist()
 
 

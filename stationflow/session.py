@@ -7,7 +7,7 @@ import uuid
 
 import stationflow
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own_roots: dict[str, str] = {}
 
@@ -66,3 +66,10 @@ def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared one."""
     app = spark.sparkContext.applicationId
     return f"{shared_root(spark)}/stationflow/{app}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def fixed(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, so that later steps see what it is now."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

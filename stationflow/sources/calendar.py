@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stationflow.config import DEFAULTS
+from stationflow.sources.files import list_files
 
 
 def archive_name(month: Column, prefix: str = DEFAULTS.archive_prefix, suffix: str = DEFAULTS.archive_suffix) -> Column:
@@ -38,3 +39,18 @@ def recent_months(spans: DataFrame, as_of: str, months_back: int = DEFAULTS.rece
 def missing_partitions(manifest: DataFrame, present: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Expected entries that are not present."""
     return manifest.join(present.select(*keys), list(keys), "left_anti")
+
+
+def fetch_plan(spark: SparkSession, prefix: str, suffix: str, have: str, first: str, last: str) -> DataFrame:
+    """``month, file_name, present, recent``: the monthly files from ``first`` to ``last``.
+
+    ``have`` is a path pattern of the files that are there; only their names are listed.  ``recent``
+    marks the months that are fetched again because they may still grow.
+    """
+    span = spark.range(1).select(F.lit(first).cast("date").alias("first"), F.lit(last).cast("date").alias("last"))
+    name = lambda month: archive_name(F.col(month), prefix, suffix)
+    expected = month_manifest(span, "first", "last").withColumn("file_name", name("month"))
+    late = recent_months(span.select("last"), "last").select("month", F.lit(True).alias("recent"))
+    there = list_files(spark, have).select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.lit(True).alias("present")).distinct()
+    joined = expected.join(there, "file_name", "left").join(late, "month", "left")
+    return joined.select("month", "file_name", F.coalesce("present", F.lit(False)).alias("present"), F.coalesce("recent", F.lit(False)).alias("recent"))

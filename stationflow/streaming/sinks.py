@@ -25,9 +25,9 @@ def write_changes(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def current_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The newest row per key, a plain aggregate over the log."""
+    """The newest row per key, a plain aggregate over the log; a batch has a key once."""
     log = spark.read.parquet(path)
-    return keep_last(log, keys, ["batch"]).drop("batch")
+    return keep_last(log, keys, ["batch"], distinct_order=True).drop("batch")
 
 
 def compact(spark: SparkSession, path: str, keys: Sequence[str], store: TableStore, name: str) -> int:

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from stationflow.config import lag_names
 from stationflow.functions.times import drop_zone, lenient_time, strict_time, strip_fraction, to_utc
 from stationflow.operators import filters, metrics, series, trips
 from suite import tables as t
@@ -39,19 +40,9 @@ def _(spark, sf):
     return t.clean(spark, sf)
 
 
-@query(
-    "p3_coerce_ts",
-    sql("SELECT ride_id, TRY_CAST(started_at AS TIMESTAMP) AS hour FROM raw2", "raw").replace(
-        "FROM raw2",
-        "FROM (SELECT ride_id, CASE WHEN started_at <> 'bad' AND length(split_part(started_at, '-', 2)) = 2 "
-        "THEN started_at END AS started_at FROM raw)",
-    ),
-)
+@query("p3_coerce_ts", sql("SELECT ride_id, TRY_CAST(started_at AS TIMESTAMP) AS hour FROM raw", "raw"))
 def _(spark, sf):
-    raw = t.raw_trips(spark, sf)
-    padded = F.length(F.split_part("started_at", F.lit("-"), F.lit(2))) == 2
-    text = F.when(padded | (F.col("started_at") == "bad"), F.col("started_at"))
-    return raw.select("ride_id", lenient_time(text).alias("hour"))
+    return t.raw_trips(spark, sf).select("ride_id", lenient_time(F.col("started_at")).alias("hour"))
 
 
 @query(
@@ -275,19 +266,14 @@ def _(spark, sf):
 @query(
     "w6_seed_state",
     sql(
-        """SELECT station_id, last_hour, recent[1] AS lag_1, recent[28] AS lag_28, list_sum(recent) AS total FROM seeds""",
+        "SELECT station_id, last_hour, " + ", ".join(f"recent[{i}] AS {name}" for i, name in enumerate(lag_names(), 1)) + " FROM seeds",
         "seeds",
     ),
 )
 def _(spark, sf):
     seeds = series.seed_state(t.hourly(spark, sf))
-    total = F.aggregate("recent", F.lit(0.0), lambda a, b: a + b)
     return seeds.select(
-        "station_id",
-        "last_hour",
-        F.get("recent", F.lit(0)).alias("lag_1"),
-        F.get("recent", F.lit(27)).alias("lag_28"),
-        total.alias("total"),
+        "station_id", "last_hour", *(F.get("recent", F.lit(i)).alias(name) for i, name in enumerate(lag_names()))
     )
 
 
@@ -410,7 +396,7 @@ def _(spark, sf):
     "u3_prediction_union",
     sql(
         """SELECT hour, station_id, round(predicted_rides, 6) AS rides, model AS model_label
-FROM predictions WHERE model <> 'mean28'
+FROM predictions
 UNION ALL SELECT hour, station_id, round(predicted_rides, 6), 'future' FROM forecasts WHERE model = 'naive_lag1'""",
         "predictions",
         "forecasts",
@@ -422,7 +408,7 @@ def _(spark, sf):
     past = t.predictions(spark, sf)
     by_model = {
         name: past.where(F.col("model") == name).select("hour", "station_id", F.col("predicted_rides").alias("rides"))
-        for name in ("naive_lag1", "lag24")
+        for name in ("naive_lag1", "lag24", "mean28")
     }
     future = carry_forward(series.seed_state(t.hourly(spark, sf)))
     by_model["future"] = future.select("hour", "station_id", F.col("predicted_rides").alias("rides"))

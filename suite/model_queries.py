@@ -6,24 +6,26 @@ and loaded from there by the queries that only use them, as inference does.
 
 from __future__ import annotations
 
-from dataclasses import asdict
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
+from stationflow.config import lag_names
+from stationflow.models.forecast import recursive_trees
 from stationflow.models.registry import ModelRegistry, split_importance, top_features
 from stationflow.models.trees import STRATEGIES, TreeParams, predict
-
+from stationflow.operators.series import seed_state
 from stationflow.plans import jobs
 from stationflow.session import scratch
+from stationflow.sources.store import TableStore
 from suite import tables as t
 from suite.tables import Query, sql
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
-# Fewer trees than the library's default of 100: a fit is a series of small jobs.
-PARAMS = TreeParams(trees=5)
+PARAMS = TreeParams()
 PARALLELISM = 5
 
 _registries: dict[tuple[str, str], ModelRegistry] = {}
@@ -76,36 +78,117 @@ def stored(spark, sf, strategies=STRATEGIES) -> ModelRegistry:
 
 
 def scored(spark, sf, strategy):
-    models = fitted(spark, sf, strategy)
-    return jobs.score(frame(spark, sf)[0], models, strategy)
+    """The stored models of one strategy: their size, and their score computed in two ways.
+
+    One score comes from Spark's own transform of the loaded models, the other from the node table.
+    """
+    rows, stations = frame(spark, sf)
+    models = stored(spark, sf, [strategy])
+    by_transform = jobs.score(rows, models.load_all(strategy, stations, PARALLELISM), strategy)
+    predicted = jobs.current_predictions(rows, models, [strategy], stations)
+    by_nodes = predicted.groupBy("station_id").agg(
+        F.count("predicted_rides").alias("test_rows"), F.avg(F.abs(F.col("actual_rides") - F.col("predicted_rides"))).alias("again")
+    )
+    trees = models.nodes([strategy], stations).groupBy("station_id").agg(F.countDistinct("tree_id").alias("trees"))
+    inputs = models.inputs([strategy], stations).select(
+        "station_id",
+        F.when(F.col("selected").isNotNull(), F.size(F.array_distinct("selected")))
+        .when(F.col("loadings").isNotNull(), F.size("loadings") / F.size("mean"))
+        .otherwise(len(lag_names())).cast("bigint").alias("inputs"),
+    )
+    table = by_transform.join(by_nodes, "station_id").join(trees, "station_id").join(inputs, "station_id")
+    return table.select(
+        "station_id", "model", "trees", "inputs", "test_rows", F.round(F.abs(F.col("mae") - F.col("again")), 6).alias("mae_gap"),
+        F.coalesce(F.col("explained_variance").between(0, 100), F.lit(strategy != "pca")).alias("variance_in_range"),
+    )
+
+
+def scored_sql(strategy, inputs):
+    return sql(
+        f"""SELECT station_id, '{strategy}' AS model, CAST(100 AS BIGINT) AS trees, CAST({inputs} AS BIGINT) AS inputs,
+  count(*) FILTER (WHERE NOT is_train) AS test_rows, CAST(0 AS DOUBLE) AS mae_gap, TRUE AS variance_in_range
+FROM training GROUP BY station_id""",
+        "training",
+    )
 
 
-@query("m2_gbt_lag28")
+@query("m2_gbt_lag28", scored_sql("lag28", 28))
 def _(spark, sf):
     return scored(spark, sf, "lag28")
 
 
-@query("m3_gbt_topk")
+@query("m3_gbt_topk", scored_sql("topk", 10))
 def _(spark, sf):
     return scored(spark, sf, "topk")
 
 
-@query("m4_gbt_pca")
+@query("m4_gbt_pca", scored_sql("pca", 10))
 def _(spark, sf):
     return scored(spark, sf, "pca")
 
 
-@query("a13_split_importance")
-def _(spark, sf):
+def importance(spark, sf):
     _, stations = frame(spark, sf)
     return split_importance(stored(spark, sf, ["lag28"]).nodes(["lag28"], stations))
 
 
-@query("o5_topk_features")
+@query(
+    "a13_split_importance",
+    sql(
+        """SELECT DISTINCT station_id, CAST(28 AS BIGINT) AS features, CAST(0 AS BIGINT) AS unaccounted FROM training""",
+        "training",
+    ),
+)
 def _(spark, sf):
+    """Every model has a count for all 28 lags, and the counts add up to its inner nodes."""
     _, stations = frame(spark, sf)
-    importance = split_importance(stored(spark, sf, ["lag28"]).nodes(["lag28"], stations))
-    return top_features(importance).select("station_id", "feature_index", "importance", "rank")
+    nodes = stored(spark, sf, ["lag28"]).nodes(["lag28"], stations)
+    inner = nodes.groupBy("station_id").agg(F.count_if(F.col("feature_index") >= 0).alias("inner"))
+    summed = importance(spark, sf).groupBy("station_id").agg(F.count("*").alias("features"), F.sum("importance").alias("splits"))
+    return summed.join(inner, "station_id").select("station_id", "features", (F.col("inner") - F.col("splits")).alias("unaccounted"))
+
+
+@query(
+    "o5_topk_features",
+    sql("SELECT DISTINCT station_id, CAST(10 AS BIGINT) AS chosen, CAST(0 AS BIGINT) AS better_left_out FROM training", "training"),
+)
+def _(spark, sf):
+    """Ten features a model, and none left out that is used more than one of them."""
+    every = importance(spark, sf)
+    top = top_features(every).select("station_id", "feature_index", "rank")
+    worst = every.join(top, ["station_id", "feature_index"]).groupBy("station_id").agg(F.min("importance").alias("least"), F.count("*").alias("chosen"))
+    left = every.join(top, ["station_id", "feature_index"], "left_anti").join(worst, "station_id")
+    better = left.groupBy("station_id", "chosen").agg(F.count_if(F.col("importance") > F.col("least")).alias("better_left_out"))
+    return better.select("station_id", "chosen", "better_left_out")
+
+
+# Line items as tree nodes: the ship mode is the station, the return flag the strategy.
+_NODES = """SELECT l_shipmode AS station_id, l_returnflag AS strategy,
+  CAST((l_partkey + l_suppkey * l_linenumber) % 25 AS INTEGER) - 1 AS feature_index FROM lineitem"""
+_IMPORTANCE = f"""SELECT k.station_id, k.strategy, CAST(f AS INTEGER) AS feature_index,
+  (SELECT count(*) FROM ({_NODES}) n WHERE n.station_id = k.station_id AND n.strategy = k.strategy AND n.feature_index = f) AS importance
+FROM (SELECT DISTINCT station_id, strategy FROM ({_NODES})) k, range(28) AS g(f)"""
+
+
+def line_nodes(spark, sf):
+    index = (F.col("l_partkey") + F.col("l_suppkey") * F.col("l_linenumber")) % 25
+    return t.table(spark, sf, "lineitem").select(
+        F.col("l_shipmode").alias("station_id"), F.col("l_returnflag").alias("strategy"), (index.cast("int") - 1).alias("feature_index")
+    )
+
+
+@query("a13_importance_of_nodes", _IMPORTANCE)
+def _(spark, sf):
+    return split_importance(line_nodes(spark, sf))
+
+
+@query(
+    "o5_topk_of_nodes",
+    f"""SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY station_id, strategy ORDER BY importance DESC, feature_index) AS INTEGER) AS rank
+FROM ({_IMPORTANCE})) WHERE rank <= 10""",
+)
+def _(spark, sf):
+    return top_features(split_importance(line_nodes(spark, sf))).drop("position")
 
 
 @query(
@@ -130,20 +213,71 @@ def _(spark, sf):
     )
 
 
-@query("m7_run_log")
+_PARAMS_JSON = ", ".join(f"'{k}': '{v}'" for k, v in sorted(jobs.run_params("pca", PARAMS).items()))
+
+
+@query(
+    "m7_run_log",
+    sql(
+        f"""SELECT TIMESTAMP '2024-02-01' AS run_ts, station_id, model AS strategy, e.key AS param, e.value AS setting,
+  round(avg(abs(actual_rides - predicted_rides)), 6) AS mae
+FROM predictions, unnest(map_entries(MAP {{{_PARAMS_JSON}}})) AS u(e) GROUP BY station_id, model, e.key, e.value""",
+        "predictions",
+    ),
+)
 def _(spark, sf):
-    rows, stations = frame(spark, sf)
-    models = stored(spark, sf, ["lag28"])
-    scores = jobs.score(rows, models.load_all("lag28", stations, PARALLELISM), "lag28")
+    """Scores of the closed-form models, logged with fixed settings and read back."""
     log = ModelRegistry(spark, scratch(spark, "runs"))
-    log.log_runs(scores, "lag28", asdict(PARAMS), datetime(2024, 2, 1))
-    return log.runs().withColumn("params", F.to_json("params"))
+    scores = t.scores(spark, sf).persist()
+    for model in ("naive_lag1", "lag24", "mean28"):
+        log.log_runs(scores.where(F.col("model") == model), model, jobs.run_params("pca", PARAMS), datetime(2024, 2, 1))
+    rows = log.runs().select(F.col("run_ts").cast("timestamp_ntz").alias("run_ts"), "station_id", "strategy", F.explode("params").alias("param", "setting"), "mae")
+    return t.rounded(rows, "mae")
 
 
-@query("fc1_current_predictions")
+@query(
+    "m1_baseline_outputs",
+    sql(
+        """SELECT station_id, count(*) AS predictions, round(avg(abs(rides - predicted_rides)), 6) AS mae,
+  round(avg(rides), 6) AS mean_rides, TIMESTAMP '2024-02-01' AS run_ts
+FROM (SELECT *, lag(rides) OVER (PARTITION BY station_id ORDER BY hour) AS predicted_rides FROM features)
+WHERE predicted_rides IS NOT NULL GROUP BY station_id""",
+        "features",
+    ),
+)
+def _(spark, sf):
+    """What the baseline run leaves: predictions, score, constant model and the log entry."""
+    store = TableStore(spark, scratch(spark, "baseline"))
+    log = ModelRegistry(spark, scratch(spark, "baseline-runs"))
+    jobs.store_history(store, t.hourly(spark, sf))
+    jobs.train_naive(store, datetime(2024, 2, 1), log)
+    predicted = store.read(jobs.PREDICTIONS).groupBy("station_id").agg(F.count("*").alias("predictions"))
+    scores = store.read(jobs.METRICS, version=None).select("station_id", "mae")
+    constant = store.read(jobs.CONSTANT_MODELS, version=None).select("station_id", "mean_rides")
+    runs = log.runs().select("station_id", F.col("run_ts").cast("timestamp_ntz").alias("run_ts"))
+    table = predicted.join(scores, "station_id").join(constant, "station_id").join(runs, "station_id")
+    return t.rounded(table, "mae", "mean_rides").select("station_id", "predictions", "mae", "mean_rides", "run_ts")
+
+
+@query(
+    "fc1_current_predictions",
+    sql(
+        """SELECT m.model, station_id, hour, rides AS actual_rides, CAST(0 AS DOUBLE) AS difference
+FROM training, (VALUES ('lag28'), ('topk'), ('pca')) AS m(model) WHERE NOT is_train""",
+        "training",
+    ),
+)
 def _(spark, sf):
+    """Predictions from the node table less those of Spark's transform, on every test row of every model."""
     rows, stations = frame(spark, sf)
-    return jobs.current_predictions(rows, stored(spark, sf), stations=stations)
+    models = stored(spark, sf)
+    by_nodes = jobs.current_predictions(rows, models, stations=stations)
+    by_transform = [predict(rows, models.load_all(s, stations, PARALLELISM), s) for s in STRATEGIES]
+    other = reduce(lambda a, b: a.unionByName(b), by_transform).withColumnRenamed("predicted_rides", "transformed")
+    both = by_nodes.join(other.drop("actual_rides"), ["model", "station_id", "hour"])
+    return both.select(
+        "model", "station_id", "hour", "actual_rides", F.round(F.abs(F.col("predicted_rides") - F.col("transformed")), 6).alias("difference")
+    )
 
 
 @query(
@@ -162,10 +296,49 @@ def _(spark, sf):
     return predicted.select("model", "station_id", "hour", "actual_rides", finite.alias("predicted"))
 
 
-@query("fc2_recursive_forecast")
+@query(
+    "fc2_recursive_forecast",
+    sql(
+        """SELECT m.model, station_id, max(hour) + INTERVAL 1 HOUR AS hour, CAST(168 AS BIGINT) AS steps, CAST(0 AS DOUBLE) AS difference
+FROM training, (VALUES ('lag28'), ('topk'), ('pca')) AS m(model) GROUP BY m.model, station_id HAVING count(*) >= 28""",
+        "training",
+    ),
+)
 def _(spark, sf):
+    """The first step of every forecast equals Spark's transform of the last 28 values; all have 168 steps."""
     rows, stations = frame(spark, sf)
-    return jobs.future_forecast(rows, stored(spark, sf), stations=stations)
+    models = stored(spark, sf)
+    forecast = jobs.future_forecast(rows, models, stations=stations)
+    first = forecast.groupBy("model", "station_id").agg(
+        F.min("hour").alias("hour"), F.count("*").alias("steps"), F.min_by("predicted_rides", "hour").alias("first")
+    )
+    seeds = seed_state(rows).select(
+        "station_id", F.col("last_hour").alias("hour"), F.lit(0).alias("rides"), F.lit(False).alias("is_train"),
+        *(F.get("recent", F.lit(i)).alias(name) for i, name in enumerate(lag_names())),
+    )
+    known = reduce(lambda a, b: a.unionByName(b), [predict(seeds, models.load_all(s, stations, PARALLELISM), s) for s in STRATEGIES])
+    both = first.join(known.select("model", "station_id", "predicted_rides"), ["model", "station_id"])
+    return both.select("model", "station_id", "hour", "steps", F.round(F.abs(F.col("first") - F.col("predicted_rides")), 6).alias("difference"))
+
+
+@query(
+    "fc2_closed_form",
+    sql(
+        """SELECT 'turns' AS model, station_id, last_hour + to_hours(CAST(s AS INTEGER)) AS hour,
+  CASE WHEN (s % 2 = 1) = (recent[1] <= 3.5) THEN 9.0 ELSE 2.0 END AS predicted_rides
+FROM seeds, range(1, 169) AS g(s)""",
+        "seeds",
+    ),
+)
+def _(spark, sf):
+    """One tree that answers 9 after a value up to 3.5 and 2 after a larger one, fed with its own answers."""
+    seeds = seed_state(t.hourly(spark, sf))
+    node = "tree_id int, node_id int, feature_index int, threshold double, left int, right int, value double, tree_weight double"
+    tree = spark.createDataFrame([(0, 0, 0, 3.5, 1, 2, 0.0, 1.0), (0, 1, -1, 0.0, -1, -1, 9.0, 1.0), (0, 2, -1, 0.0, -1, -1, 2.0, 1.0)], node)
+    keys = seeds.select("station_id", F.lit("turns").alias("strategy"))
+    none = F.lit(None).cast("array<double>")
+    inputs = keys.select("*", F.lit(1).alias("version"), F.lit(None).cast("array<int>").alias("selected"), none.alias("mean"), none.alias("loadings"))
+    return recursive_trees(seeds, keys.join(F.broadcast(tree)), inputs)
 
 
 @query(

@@ -6,11 +6,13 @@ folder (below the shared checkpoint folder) and then runs the operator on those.
 
 from __future__ import annotations
 
+from contextlib import contextmanager, suppress
+
 from pyspark.sql import functions as F
 
 from stationflow.operators.series import feature_table
 from stationflow.plans import jobs
-from stationflow.schemas import HOURLY_FEATURES, HOURLY_RIDES
+from stationflow.schemas import HOURLY_RIDES
 from stationflow.session import scratch
 from stationflow.sources import archives, calendar, trip_csv
 from stationflow.sources.store import TableStore
@@ -180,6 +182,14 @@ def _(spark, sf):
     return store.read("features").where(F.col("station_id") == "click").select(t.features(spark, sf).columns)
 
 
+@query("s12_store_read_all", sql("SELECT * FROM features", "features"))
+def _(spark, sf):
+    """The same table read back whole."""
+    store = TableStore(spark, scratch(spark, "store"))
+    store.write("features", t.features(spark, sf), partition_by=["station_id"])
+    return store.read("features").select(t.features(spark, sf).columns)
+
+
 @query("s13_latest_version", sql("SELECT station_id, hour, rides FROM hourly_user", "hourly_user"))
 def _(spark, sf):
     """Two versions of a table; reading without a version gives the newer one."""
@@ -226,7 +236,61 @@ def _(spark, sf):
     jobs.store_history(store, rides.where(before("hour", "2024-01-10")))
     jobs.store_recent(store, rides.where(before()))
     jobs.store_recent(store, rides.where(~before("hour", "2024-01-10")))
-    return store.read(jobs.FEATURES, schema=HOURLY_FEATURES)
+    return jobs.features(store)
+
+
+@query("t1_retry_after_cut", sql("SELECT * FROM features_user", "features_user"))
+def _(spark, sf):
+    """A load dies after its features were written; the next one, which brings more, replaces them."""
+    store = TableStore(spark, scratch(spark, "retried"))
+    rides = t.hourly(spark, sf, "user_id")
+    jobs.store_history(store, rides.where(before("hour", "2024-01-10")))
+    with cut_off(store):
+        jobs.store_recent(store, rides.where(before()))
+    jobs.store_recent(store, rides.where(before("hour", "2024-01-25")))
+    jobs.store_recent(store, rides)
+    return jobs.features(store)
+
+
+@contextmanager
+def cut_off(store):
+    """Loads of ``store`` fail where they would write the end of the series."""
+    write = store.write
+
+    def failing(name, *args, **options):
+        if name == jobs.TAIL:
+            raise OSError("cut off")
+        write(name, *args, **options)
+
+    store.write = failing
+    with suppress(OSError):
+        yield
+    store.write = write
+
+
+@query("t1_per_station_features", sql("SELECT * FROM features_user", "features_user"))
+def _(spark, sf):
+    """Batches in which half of the stations lag behind the others, each with its own mark."""
+    store = TableStore(spark, scratch(spark, "own-marks"))
+    rides = t.hourly(spark, sf, "user_id")
+    late = F.crc32(F.col("station_id").cast("binary")) % 2 == 0
+    jobs.store_history(store, rides.where(before("hour", "2024-01-10")))
+    jobs.store_recent(store, rides.where(~late & before()), per_station=True)
+    jobs.store_recent(store, rides.where(late & before("hour", "2024-01-15")), per_station=True)
+    jobs.store_recent(store, rides, per_station=True)
+    return jobs.features(store)
+
+
+@query("t4_second_bootstrap", sql("SELECT * FROM features_user", "features_user"))
+def _(spark, sf):
+    """History, a batch, the history again from an earlier day on, and the rest as a batch."""
+    store = TableStore(spark, scratch(spark, "again"))
+    rides = t.hourly(spark, sf, "user_id")
+    jobs.store_history(store, rides.where(before("hour", "2024-01-10")))
+    jobs.store_recent(store, rides.where(before()))
+    jobs.store_history(store, rides.where(before("hour", "2024-01-05")))
+    jobs.store_recent(store, rides)
+    return jobs.features(store)
 
 
 @query(
@@ -252,7 +316,7 @@ def _(spark, sf):
     """Raw trips to a stored feature table in one job."""
     store = TableStore(spark, scratch(spark, "history"))
     jobs.load_history(store, t.raw_trips(spark, sf))
-    return store.read(jobs.FEATURES)
+    return jobs.features(store)
 
 
 @query(

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from stationflow import __main__ as cli
 from stationflow.config import DEFAULTS
-from stationflow.operators.series import feature_table, features_after
+from stationflow import schemas
+from stationflow.operators.series import feature_table
 from stationflow.plans import jobs
 from stationflow.schemas import HOURLY_RIDES
 from stationflow.sources.store import TableStore
@@ -41,15 +42,18 @@ def test_archives_to_reports(spark, sf_dir, tmp_path, command, capsys):
 
     recent = tmp_path / "recent"
     export_csv(raw.where(~old).coalesce(1), str(recent / "JC-new.csv"))
-    before = tables_.read(jobs.FEATURES).count()
+    before = jobs.features(tables_).count()
     for expected in ("new rows appended", "no new rows"):
         command("load-recent", "--raw", f"{recent}/JC-*.csv/*.csv", "--files", 1, *store)
         assert expected in capsys.readouterr().out
-    assert tables_.read(jobs.FEATURES).count() > before
+    assert jobs.features(tables_).count() > before
+    assert tables_.read("rejected_trips").select("run").distinct().count() > 1
+    assert tables_.read(jobs.PREDICTIONS, schema=schemas.PREDICTIONS).count() == 0
 
     command("train", *store, *models, "--trees", 2)
     command("infer", *store, *models)
     command("reports", *store, "--out", tmp_path / "reports")
+    assert tables_.read(jobs.NOT_FORECAST, version=None).count() == 0
     metrics = tables_.read(jobs.METRICS, version=None)
     assert metrics.where("model <> 'naive_lag_1'").count() == 9
     assert metrics.where("model = 'naive_lag_1'").count() == 5
@@ -68,29 +72,73 @@ def hours(spark, station, first, last):
     return spark.createDataFrame(rows, HOURLY_RIDES)
 
 
+def same(got, expected):
+    return got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+
+
 def test_batches_add_up_to_one_run(spark, tmp_path):
-    """Overlapping batches, a station that is new in the second one, and a load that was cut off."""
+    """Overlapping batches, a station that is new in the second one, and a load that was cut off while the new one is short."""
     store = TableStore(spark, str(tmp_path))
     jobs.store_history(store, hours(spark, "a", 0, 50))
     assert jobs.store_recent(store, hours(spark, "a", 40, 60).unionByName(hours(spark, "new", 50, 60)))
-    # The next load dies after its features were appended: the series end is not updated.
-    fresh = hours(spark, "a", 60, 70)
-    store.append(jobs.FEATURES, features_after(fresh, store.read(jobs.TAIL, version=None)))
-    assert not jobs.store_recent(store, fresh)
+    before = jobs.features(store).count()
+    fresh = hours(spark, "a", 60, 70).unionByName(hours(spark, "new", 60, 70))
+    # The next load dies after its features were written: readers see nothing of it.
+    with source_queries.cut_off(store):
+        jobs.store_recent(store, fresh)
+    assert jobs.features(store).count() == before
+    assert jobs.store_recent(store, fresh)
     assert jobs.store_recent(store, hours(spark, "a", 60, 90).unionByName(hours(spark, "new", 70, 90)))
-    whole = hours(spark, "a", 0, 90).unionByName(hours(spark, "new", 50, 60)).unionByName(hours(spark, "new", 70, 90))
-    got, expected = store.read(jobs.FEATURES), feature_table(whole)
-    assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+    whole = hours(spark, "a", 0, 90).unionByName(hours(spark, "new", 50, 90))
+    assert same(jobs.features(store), feature_table(whole))
     assert not jobs.store_recent(store, whole)
 
 
+def test_history_again(spark, tmp_path):
+    """A second history takes the place of the first, and one that was cut off changes nothing."""
+    store = TableStore(spark, str(tmp_path))
+    jobs.store_history(store, hours(spark, "a", 0, 60))
+    jobs.store_recent(store, hours(spark, "a", 60, 80))
+    with source_queries.cut_off(store):
+        jobs.store_history(store, hours(spark, "b", 0, 40))
+    assert same(jobs.features(store), feature_table(hours(spark, "a", 0, 80)))
+    jobs.store_recent(store, hours(spark, "a", 80, 90))
+    assert same(jobs.features(store), feature_table(hours(spark, "a", 0, 90)))
+    jobs.store_history(store, hours(spark, "a", 0, 40))
+    jobs.store_recent(store, hours(spark, "a", 40, 90))
+    assert same(jobs.features(store), feature_table(hours(spark, "a", 0, 90)))
+
+
 def test_slow_stations(spark, tmp_path):
     for per_station, rows in ((False, 1), (True, 11)):
         store = TableStore(spark, f"{tmp_path}/{per_station}")
         jobs.store_history(store, hours(spark, "fast", 0, 60).unionByName(hours(spark, "slow", 0, 50)))
-        before = store.read(jobs.FEATURES).count()
+        before = jobs.features(store).count()
         jobs.store_recent(store, hours(spark, "slow", 50, 61), per_station)
-        assert store.read(jobs.FEATURES).count() == before + rows
+        assert jobs.features(store).count() == before + rows
+
+
+def test_own_marks_keep_lags(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    jobs.store_history(store, hours(spark, "a", 0, 40).unionByName(hours(spark, "b", 0, 30)))
+    for last in (50, 65, 80):
+        jobs.store_recent(store, hours(spark, "a", 30, last + 20).unionByName(hours(spark, "b", 25, last)), per_station=True)
+    assert same(jobs.features(store), feature_table(hours(spark, "a", 0, 100).unionByName(hours(spark, "b", 0, 80))))
+
+
+def test_fetch_plan(spark, tmp_path, command):
+    (tmp_path / "have").mkdir()
+    for month in ("202401", "202403"):
+        (tmp_path / "have" / f"T-{month}.zip").write_bytes(b"x")
+    (tmp_path / "have" / "other.zip").write_bytes(b"x")
+    command(
+        "plan-fetch", "--prefix", "T-", "--suffix", ".zip", "--have", f"{tmp_path}/have/*.zip",
+        "--first", "2024-01-15", "--last", "2024-04-02", "--out", tmp_path / "plan",
+    )
+    plan = spark.read.option("header", True).csv(str(tmp_path / "plan")).collect()
+    assert sorted((r["file_name"], r["present"], r["recent"]) for r in plan) == [
+        ("T-202401.zip", "true", "false"), ("T-202402.zip", "false", "false"), ("T-202403.zip", "true", "true"), ("T-202404.zip", "false", "true"),
+    ]
 
 
 def test_reports_of_an_empty_store(spark, tmp_path):
