@@ -32,6 +32,7 @@ UNIGRAM, BPE = 1, 2
 NORMAL, BYTE, USER_DEFINED = 1, 6, 4
 # A unit's segmentation is a 64-bit set of its cuts; longer units go through the library itself.
 LONGEST_UNIT = 61
+PLACES = 64
 UNKNOWN_PENALTY = 10.0
 # Units shipped with the tasks that look them up; they have at most HEAD_CHARS characters.
 HEAD_UNITS = 400_000
@@ -41,8 +42,8 @@ COUNTED_UNITS = 400_000
 # Input bytes whose units one task encodes, and the most tasks.
 TASK_BYTES = 4 << 20
 MOST_TASKS = 1 << 16
-# Units whose edges an aggregation task holds before it goes over to sorting.
-HELD_UNITS = 65_536
+# Edges are grouped by sorting, which takes bounded memory and here less time than a hash of lists.
+GROUPING = "spark.sql.execution.useObjectHashAggregateExec"
 
 
 @dataclass(frozen=True)
@@ -92,6 +93,37 @@ class Model:
     def ids(self) -> dict[str, int]:
         return {p: n for n, (p, t) in enumerate(zip(self.pieces, self.types)) if t == NORMAL}
 
+    @cached_property
+    def cost(self) -> dict[str, float]:
+        """Cost of each piece: its negative score, or the rank of its score in a BPE model."""
+        if self.kind == UNIGRAM:
+            return {p: -self.scores[n] for p, n in self.ids.items()}
+        rank = {score: n for n, score in enumerate(sorted({self.scores[n] for n in self.ids.values()}, reverse=True))}
+        return {p: float(rank[self.scores[n]]) for p, n in self.ids.items()}
+
+    @cached_property
+    def out_of_turn(self) -> set[str]:
+        """Pieces that their own characters do not lead to when merges are tried once, in order of cost.
+
+        Merges inside a stretch of text depend on nothing outside it while its ends stand.  So if a
+        piece can be merged at its turn when it stands alone, it can be merged at its turn wherever
+        it can be merged at all, and one pass over a unit's edges in order of cost finds all merges.
+        """
+        found = set()
+        for piece, own in self.cost.items():
+            parts = [(self.cost[piece[a:b]], a, b) for a in range(len(piece)) for b in range(a + 2, len(piece) + 1) if piece[a:b] in self.cost]
+            cuts = set(range(len(piece) + 1))
+            for _, a, b in sorted(parts):
+                inner = [c for c in cuts if a < c < b]
+                ready = a in cuts and b in cuts and len(inner) == 1
+                if (a, b) == (0, len(piece)):
+                    if not ready:
+                        found.add(piece)
+                    break
+                if ready:
+                    cuts.remove(inner[0])
+        return found
+
     @cached_property
     def byte_ids(self) -> dict[int, int]:
         return {int(p[3:5], 16): n for n, (p, t) in enumerate(zip(self.pieces, self.types)) if t == BYTE}
@@ -177,13 +209,16 @@ def _bit(place: Column) -> Column:
 
 
 def piece_table(spark: SparkSession, model: Model, shortest: int) -> DataFrame:
-    """``piece, score`` of the pieces with at least ``shortest`` characters; as large as the model, so broadcast."""
-    rows = [(p, model.scores[n]) for p, n in model.ids.items() if len(p) >= shortest]
-    return F.broadcast(spark.createDataFrame(rows, "piece string, score double"))
+    """``piece, cost, late`` of the pieces with at least ``shortest`` characters; as large as the model, so broadcast."""
+    late = model.out_of_turn if model.kind == BPE else set()
+    rows = [(p, model.cost[p], p in late) for p in model.ids if len(p) >= shortest]
+    return F.broadcast(spark.createDataFrame(rows, "piece string, cost double, late boolean"))
 
 
 def lattice(units: DataFrame, model: Model, shortest: int) -> DataFrame:
-    """``units`` with an array ``edges`` of ``score, first, last`` (character places) per unit.
+    """``units`` with an array ``edges`` per unit: cost, first and last place of each piece found.
+
+    The edges of a BPE model are packed into one number each, which sorts by cost, then place.
 
     Substrings from ``shortest`` characters up to the longest piece are joined to the piece table.
     Units are already dealt by unit, so nothing is shuffled.  Each unit keeps its first substring,
@@ -195,28 +230,46 @@ def lattice(units: DataFrame, model: Model, shortest: int) -> DataFrame:
     spans = starts.select("*", F.explode(F.sequence(F.col("first") + shortest, F.least(length, F.col("first") + longest))).alias("last"))
     parts = spans.select("*", F.substring("unit", F.col("first") + 1, F.col("last") - F.col("first")).alias("piece"))
     found = parts.join(piece_table(units.sparkSession, model, shortest), "piece", "left")
-    found = found.where(F.col("score").isNotNull() | ((F.col("first") == 0) & (F.col("last") == shortest)))
-    edge = F.struct((-F.col("score")).alias("cost"), "first", "last")
-    return found.groupBy("unit", "n").agg(F.collect_list(F.when(F.col("score").isNotNull(), edge)).alias("edges"))
+    found = found.where(F.col("cost").isNotNull() | ((F.col("first") == 0) & (F.col("last") == shortest)))
+    packed = F.col("cost").cast("long") * PLACES * PLACES + F.col("first") * PLACES + F.col("last")
+    edge = packed if model.kind == BPE else F.struct("cost", "first", "last")
+    return found.groupBy("unit", "n").agg(
+        F.collect_list(F.when(F.col("cost").isNotNull(), edge)).alias("edges"), F.coalesce(F.bool_or("late"), F.lit(False)).alias("late")
+    )
+
+
+def _ends(edge: Column) -> tuple[Column, Column]:
+    """A packed edge's two ends as a set of cuts, and the cuts between them."""
+    first = F.call_function("shiftright", edge, F.lit(6)).bitwiseAND(F.lit(PLACES - 1)).cast("int")
+    last = edge.bitwiseAND(F.lit(PLACES - 1)).cast("int")
+    return _bit(first).bitwiseOR(_bit(last)), _bit(last) - _bit(first + 1)
 
 
 def merge_fold(edges: DataFrame) -> DataFrame:
-    """``unit, n, cuts`` of a BPE model: again and again the best piece that two neighbours make, leftmost first."""
-    marked = F.transform(
-        F.sort_array("edges"),
-        lambda e: F.struct(
-            (_bit(e["first"]).bitwiseOR(_bit(e["last"]))).alias("ends"),
-            (_bit(e["last"]) - _bit(e["first"] + 1)).alias("inner"),
-        ),
-    )
-    rows = edges.select("unit", "n", marked.alias("marked"))
-    joins = lambda cuts: F.filter(
-        "marked", lambda e: (cuts.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(cuts.bitwiseAND(e["inner"])) == 1)
-    )
-    step = lambda cuts, _: cuts.bitwiseAND(F.bitwise_not(F.coalesce(F.try_element_at(joins(cuts), F.lit(1))["inner"], F.lit(0).cast("long"))))
-    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.size("marked"), F.length("unit") - 1)))
+    """``unit, n, cuts`` of a BPE model: the cuts that are left when all merges are done.
+
+    A merge needs two neighbouring segments that make a piece; the cheapest goes first, the leftmost
+    of equal ones.  One pass over the sorted edges does that, unless a unit holds a piece that can
+    come up after its turn; such units look for the cheapest merge again after every merge.
+    """
     everywhere = _bit(F.length("unit") + 1) - 1
-    return rows.select("unit", "n", F.aggregate(steps, everywhere, step).alias("cuts"))
+
+    def merged(cuts: Column, edge: Column) -> Column:
+        ends, inner = _ends(edge)
+        fits = (F.bit_count(cuts.bitwiseAND(inner)) == 1) & (cuts.bitwiseAND(ends) == ends)
+        return F.when(fits, cuts.bitwiseAND(F.bitwise_not(inner))).otherwise(cuts)
+
+    def searched(marked: Column) -> Column:
+        def again(cuts: Column, _: Column) -> Column:
+            joins = F.filter(marked, lambda e: (F.bit_count(cuts.bitwiseAND(e["inner"])) == 1) & (cuts.bitwiseAND(e["ends"]) == e["ends"]))
+            return cuts.bitwiseAND(F.bitwise_not(F.coalesce(F.try_element_at(joins, F.lit(1))["inner"], F.lit(0).cast("long"))))
+
+        return F.aggregate(F.sequence(F.lit(1), F.length("unit")), everywhere, again)
+
+    marked = F.transform(F.sort_array("edges"), lambda e: F.struct(_ends(e)[0].alias("ends"), _ends(e)[1].alias("inner")))
+    late = F.element_at(F.transform(F.array(marked), searched), 1)
+    in_turn = F.aggregate(F.sort_array("edges"), everywhere, merged)
+    return edges.select("unit", "n", F.when(F.col("late"), late).otherwise(in_turn).alias("cuts"))
 
 
 def viterbi_fold(edges: DataFrame, model: Model) -> DataFrame:
@@ -244,8 +297,6 @@ def viterbi_fold(edges: DataFrame, model: Model) -> DataFrame:
 
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
     """``unit, n, ids`` (little-endian binary) for each distinct unit."""
-    spark = units.sparkSession
-    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(HELD_UNITS))
     shortest = 2 if model.kind == BPE else 1
     fits = F.length("unit").between(shortest, LONGEST_UNIT)
     edges = lattice(units.where(fits), model, shortest)
@@ -280,7 +331,11 @@ def encode(docs: DataFrame, model: Model, head_units: int = HEAD_UNITS) -> DataF
     empty table gives none.
     """
     rows = docs.select("doc_id", "text")
+    conf = docs.sparkSession.conf
+    before = conf.get(GROUPING)
+    conf.set(GROUPING, "false")
     table = fixed(encode_units(count_units(rows, model), model), "units")
+    conf.set(GROUPING, before)
     common = F.length("unit") <= HEAD_CHARS
     head = table.where(common).orderBy(F.desc("n"), "unit").limit(head_units).select("unit", "ids").toArrow()
     gap = np.iinfo(model.id_type).max
