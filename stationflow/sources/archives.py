@@ -10,7 +10,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from stationflow.session import shared_root
 from stationflow.sources.files import filesystem_of, list_files, one_task_each, open_uri
@@ -46,7 +46,8 @@ def extract_archives(spark: SparkSession, pattern: str, raw_dir: str) -> DataFra
 
     One task per member, copied as a stream in small chunks, so memory does not grow with the
     file.  A member is written under a name of its own and moved into place when complete:
-    a task that is run again, or lost half-way, leaves no half file.  The result
+    a task that is run again, or lost half-way, leaves no half file.  A name that several archives
+    hold gets the archive's name added before its ending, so that no member replaces another.  The result
     (``path, member, target, error``) is fixed in the checkpoint folder.
     """
 
@@ -54,8 +55,13 @@ def extract_archives(spark: SparkSession, pattern: str, raw_dir: str) -> DataFra
         filesystem, base = filesystem_of(raw_dir)
         for batch in batches:
             done = []
-            for path, member in zip(batch["path"], batch["member"]):
+            for path, member, shared in zip(batch["path"], batch["member"], batch["shared"]):
                 name = posixpath.normpath(member)
+                if shared:
+                    # Another archive has a member of this name: the archive's own name tells them apart.
+                    stem, dot, kind = name.rpartition(".")
+                    own = posixpath.splitext(posixpath.basename(path))[0]
+                    name = f"{stem}.{own}{dot}{kind}" if dot else f"{name}.{own}"
                 target = posixpath.join(base, name)
                 part = f"{target}.{uuid.uuid4().hex}.part"
                 if name.startswith(("/", "..")):
@@ -75,7 +81,8 @@ def extract_archives(spark: SparkSession, pattern: str, raw_dir: str) -> DataFra
     shared_root(spark)
     members = list_members(spark, pattern).checkpoint()
     schema = "path string, member string, target string, error string"
-    readable = members.where(F.col("error").isNull()).select("path", "member")
+    twins = F.count(F.lit(1)).over(Window.partitionBy("member")) > 1
+    readable = members.where(F.col("error").isNull()).select("path", "member", twins.alias("shared"))
     unpacked = one_task_each(readable, ["path", "member"]).mapInPandas(unpack, schema)
     broken = members.where(F.col("error").isNotNull()).select(
         "path", "member", F.lit(None).cast("string").alias("target"), "error"

@@ -32,9 +32,10 @@ def one_task_each(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Spread a listing over as many tasks as it has rows.
 
     The number is stated because AQE would otherwise merge the listing, a few bytes a row, into
-    one task that then opens every file.
+    one task that then opens every file.  Ranges of one row each, as a hash would put several rows
+    into one task and none into others.
     """
-    return rows.repartition(min(max(1, rows.count()), MOST_TASKS), *keys)
+    return rows.repartitionByRange(min(max(1, rows.count()), MOST_TASKS), *keys)
 
 
 def filesystem_of(uri: str) -> tuple[fs.FileSystem, str]:

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from stationflow.config import REQUIRED_TRIP_COLUMNS
-from stationflow.sources.files import list_files, newest_files, one_task_each, open_uri
+from stationflow.sources.files import filesystem_of, list_files, newest_files, one_task_each
 
 CORRUPT = "_corrupt_record"
 SOURCE = "source_file"
@@ -25,20 +25,59 @@ class TripScan(NamedTuple):
     rejected_files: DataFrame
 
 
+# A header line is looked for in this many bytes.
+HEADER_BYTES = 64 << 10
+CHUNK_BYTES = 1 << 20
+COMPRESSED = (".gz", ".bz2")
+# Words that a data-frame reader takes for a missing value.
+NULL_WORDS = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
+    "n/a", "nan", "null",
+)
+
+
+def _header(path: str) -> list[str]:
+    """The column names of a file; ValueError or OSError says why it cannot be used.
+
+    A compressed file is read to its end, as only that shows whether it is whole.
+    """
+    filesystem, inner = filesystem_of(path)
+    packed = path.endswith(COMPRESSED)
+    with filesystem.open_input_stream(inner, compression="detect" if packed else None) as raw:
+        first = raw.read(HEADER_BYTES)
+        while packed and raw.read(CHUNK_BYTES):
+            pass
+    if b"\n" not in first and len(first) == HEADER_BYTES:
+        raise ValueError(f"no line end in the first {HEADER_BYTES} bytes")
+    text = first.decode("utf-8-sig", errors="replace")
+    header = next(csv.reader(io.StringIO(text, newline="")), [])
+    low = [name.lower() for name in header]
+    if not header or "" in (name.strip() for name in header):
+        raise ValueError("empty column name")
+    if len(set(low)) < len(low):
+        raise ValueError("repeated column name")
+    return header
+
+
 def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        headers = []
+        headers, reasons = [], []
         for path in batch["path"]:
-            with open_uri(path) as raw:
-                text = io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace", newline="")
-                headers.append(next(csv.reader(text), []))
-        yield pd.DataFrame({"path": batch["path"], "header": headers})
+            header, reason = None, None
+            try:
+                header = _header(path)
+            except (OSError, EOFError, ValueError, csv.Error) as error:
+                # Messages can name offsets and addresses; the kind is enough and stays the same.
+                reason = str(error) if type(error) is ValueError else f"unreadable: {type(error).__name__}"
+            headers.append(header)
+            reasons.append(reason)
+        yield pd.DataFrame({"path": batch["path"], "header": headers, "reason": reasons})
 
 
 def file_headers(files: DataFrame) -> DataFrame:
-    """``path, header`` of each listed file, one task per file, only the first line read."""
+    """``path, header, reason`` of each listed file, one task per file; ``reason`` says why there is no header."""
     return one_task_each(files.select("path"), ["path"]).mapInPandas(
-        _first_lines, "path string, header array<string>"
+        _first_lines, "path string, header array<string>, reason string"
     )
 
 
@@ -54,7 +93,6 @@ def _scan_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str]
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("ignoreCorruptFiles", True)
         # Whether a row is damaged must not depend on the columns a query happens to need.
         .option("columnPruning", False)
         .csv(list(paths))
@@ -65,7 +103,8 @@ def _scan_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str]
     # the test also touches the first field, in a way that is always true.
     touched = F.coalesce(F.length(F.col(header[0])), F.lit(0)) >= 0
     surplus = F.col(CORRUPT).isNotNull() & touched & (_field_count(F.col(CORRUPT)) > len(header))
-    return rows.withColumn(CORRUPT, F.when(surplus, F.col(CORRUPT)))
+    known = {name: F.when(~F.col(name).isin(*NULL_WORDS), F.col(name)) for name in REQUIRED_TRIP_COLUMNS if name in header}
+    return rows.withColumns({CORRUPT: F.when(surplus, F.col(CORRUPT)), **known})
 
 
 def scan_trip_files(
@@ -77,14 +116,18 @@ def scan_trip_files(
 
     An explicit CSV schema binds by position, so files are grouped by their header line and each
     group is one scan; the groups are united by name, missing columns null.  A file without a
-    required column is reported and left out, a damaged row likewise.  Only the file listing,
-    never file content, passes through the driver.
+    required column, without a usable header or that cannot be read whole is reported and left out,
+    a damaged row likewise.  Words for a missing value count as null in required columns.  Only the
+    file listing, never file content, passes through the driver.
     """
     if not isinstance(files, DataFrame):
         files = list_files(spark, list(files))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     unusable: list[tuple[str, str]] = []
     for row in file_headers(files).collect():
+        if row["reason"] is not None:
+            unusable.append((row["path"], row["reason"]))
+            continue
         header = tuple(row["header"])
         missing = [name for name in required if name not in header]
         if missing:

@@ -162,8 +162,8 @@ def _(spark, sf):
     return better.select("station_id", "chosen", "better_left_out")
 
 
-# Line items as tree nodes: the ship mode is the station, the return flag the strategy.
-_NODES = """SELECT l_shipmode AS station_id, l_returnflag AS strategy,
+# Line items as tree nodes: the line number is the station, the return flag the strategy.
+_NODES = """SELECT CAST(l_linenumber AS VARCHAR) AS station_id, l_returnflag AS strategy,
   CAST((l_partkey + l_suppkey * l_linenumber) % 25 AS INTEGER) - 1 AS feature_index FROM lineitem"""
 _IMPORTANCE = f"""SELECT k.station_id, k.strategy, CAST(f AS INTEGER) AS feature_index,
   (SELECT count(*) FROM ({_NODES}) n WHERE n.station_id = k.station_id AND n.strategy = k.strategy AND n.feature_index = f) AS importance
@@ -173,7 +173,7 @@ FROM (SELECT DISTINCT station_id, strategy FROM ({_NODES})) k, range(28) AS g(f)
 def line_nodes(spark, sf):
     index = (F.col("l_partkey") + F.col("l_suppkey") * F.col("l_linenumber")) % 25
     return t.table(spark, sf, "lineitem").select(
-        F.col("l_shipmode").alias("station_id"), F.col("l_returnflag").alias("strategy"), (index.cast("int") - 1).alias("feature_index")
+        F.col("l_linenumber").cast("string").alias("station_id"), F.col("l_returnflag").alias("strategy"), (index.cast("int") - 1).alias("feature_index")
     )
 
 
@@ -325,7 +325,7 @@ def _(spark, sf):
     "fc2_closed_form",
     sql(
         """SELECT 'turns' AS model, station_id, last_hour + to_hours(CAST(s AS INTEGER)) AS hour,
-  CASE WHEN (s % 2 = 1) = (recent[1] <= 3.5) THEN 9.0 ELSE 2.0 END AS predicted_rides
+  CASE WHEN (s % 2 = 1) = (recent[1] <= 3.5) THEN CAST(9 AS DOUBLE) ELSE CAST(2 AS DOUBLE) END AS predicted_rides
 FROM seeds, range(1, 169) AS g(s)""",
         "seeds",
     ),
@@ -333,12 +333,17 @@ FROM seeds, range(1, 169) AS g(s)""",
 def _(spark, sf):
     """One tree that answers 9 after a value up to 3.5 and 2 after a larger one, fed with its own answers."""
     seeds = seed_state(t.hourly(spark, sf))
-    node = "tree_id int, node_id int, feature_index int, threshold double, left int, right int, value double, tree_weight double"
-    tree = spark.createDataFrame([(0, 0, 0, 3.5, 1, 2, 0.0, 1.0), (0, 1, -1, 0.0, -1, -1, 9.0, 1.0), (0, 2, -1, 0.0, -1, -1, 2.0, 1.0)], node)
-    keys = seeds.select("station_id", F.lit("turns").alias("strategy"))
+    tree = [(0, 0, 3.5, 1, 2, 0.0), (1, -1, 0.0, -1, -1, 9.0), (2, -1, 0.0, -1, -1, 2.0)]
+    names = ("node_id", "feature_index", "threshold", "left", "right", "value")
+    node = [F.struct(F.lit(0).alias("tree_id"), F.lit(1.0).alias("tree_weight"), *(F.lit(v).alias(n) for n, v in zip(names, row))) for row in tree]
+    stations = t.hourly(spark, sf).groupBy("station_id").agg(F.lit("turns").alias("strategy"))
+    nodes = stations.select("station_id", "strategy", F.inline(F.array(*node)))
     none = F.lit(None).cast("array<double>")
-    inputs = keys.select("*", F.lit(1).alias("version"), F.lit(None).cast("array<int>").alias("selected"), none.alias("mean"), none.alias("loadings"))
-    return recursive_trees(seeds, keys.join(F.broadcast(tree)), inputs)
+    inputs = seeds.select(
+        "station_id", F.lit("turns").alias("strategy"), F.lit(1).alias("version"),
+        F.lit(None).cast("array<int>").alias("selected"), none.alias("mean"), none.alias("loadings"),
+    )
+    return recursive_trees(seeds, nodes, inputs)
 
 
 @query(

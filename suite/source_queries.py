@@ -149,6 +149,82 @@ def _(spark, sf):
     return trip_csv.scan_newest_trips(spark, f"{folder}/JC-*.csv/*.csv", 1).rows.select(RAW_COLUMNS)
 
 
+def _faulty_folder(spark, sf) -> str:
+    """The trips as CSV files, beside files that cannot be used and rows that cannot."""
+    import gzip
+
+    from stationflow.sources.files import filesystem_of
+
+    folder = scratch(spark, "faulty")
+    raw = t.raw_trips(spark, sf)
+    trip_csv.export_csv(raw.where(F.col("ended_at").isNotNull()), f"{folder}/good.csv")
+    surplus = raw.where(F.col("ended_at").isNull()).select(*RAW_COLUMNS, F.lit("x").alias("more"))
+    # One field more than the header has: the rows are set aside.
+    surplus.select(F.concat_ws(",", *(F.coalesce(c, F.lit("")) for c in surplus.columns)).alias("value")).coalesce(1).write.text(f"{folder}/rows.csv")
+    filesystem, base = filesystem_of(folder)
+    rows = [name for name in filesystem.get_file_info(_listing(f"{base}/rows.csv")) if name.base_name.startswith("part-")]
+    with filesystem.open_input_stream(rows[0].path) as source, filesystem.open_output_stream(f"{base}/JC-rows-0.csv") as sink:
+        sink.write((",".join(RAW_COLUMNS) + "\n").encode())
+        while chunk := source.read(1 << 20):
+            sink.write(chunk)
+    header = ",".join(RAW_COLUMNS).encode()
+    contents = {
+        "JC-junk.csv": b"\x00\xff" * 100_000,
+        "JC-twice.csv": header + b",ride_id\n1,2,3,4,5,6\n",
+        "JC-unnamed.csv": header + b",\n1,2,3,4,5,6\n",
+        "JC-short.csv": b"ride_id,started_at\n1,2\n",
+        "JC-cut.csv.gz": gzip.compress(header + b"\n" + b"1,2024-01-01 00:00:00,2024-01-01 00:01:00,a,b\n" * 50_000)[:-200],
+    }
+    for name, content in contents.items():
+        with filesystem.open_output_stream(f"{base}/{name}", compression=None) as sink:
+            sink.write(content)
+    return folder
+
+
+def _listing(path):
+    from pyarrow import fs
+
+    return fs.FileSelector(path)
+
+
+def _faulty_scan(spark, sf):
+    folder = _faulty_folder(spark, sf)
+    return trip_csv.scan_trip_files(spark, [f"{folder}/good.csv/*.csv", f"{folder}/JC-*.csv*"])
+
+
+@query(
+    "s7_rejected_files",
+    """SELECT * FROM (VALUES ('JC-junk.csv', 'no line end in the first 65536 bytes'), ('JC-twice.csv', 'repeated column name'),
+  ('JC-unnamed.csv', 'empty column name'), ('JC-cut.csv.gz', 'unreadable: OSError'),
+  ('JC-short.csv', 'missing column ended_at, start_station_id, end_station_id')) AS v(file, reason)
+WHERE (SELECT count(*) FROM events) > 0""",
+)
+def _(spark, sf):
+    """Files that cannot be used are reported with the reason, beside trips that are read."""
+    scan = _faulty_scan(spark, sf)
+    return scan.rejected_files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "reason").where(F.lit(scan.rows.count() > 0))
+
+
+@query("s7_rows_beside_rejects", sql(f"SELECT {_RAW} FROM raw WHERE ended_at IS NOT NULL", "raw"))
+def _(spark, sf):
+    """All usable files are read in spite of the others."""
+    return _faulty_scan(spark, sf).rows.select(RAW_COLUMNS)
+
+
+@query(
+    "s7_rejected_rows",
+    sql(
+        """SELECT concat_ws(',', ride_id, started_at, coalesce(ended_at, ''), coalesce(start_station_id, ''),
+  coalesce(end_station_id, ''), 'x') AS line, 'too many fields' AS reason
+FROM raw WHERE ended_at IS NULL""",
+        "raw",
+    ),
+)
+def _(spark, sf):
+    """Rows with too many fields are set aside as they stand."""
+    return _faulty_scan(spark, sf).rejected_rows.select("line", "reason")
+
+
 @query("s10_roundtrip", sql("SELECT station_id, hour, rides FROM hourly_user", "hourly_user"))
 def _(spark, sf):
     path = scratch(spark, "export") + ".csv"

@@ -137,3 +137,36 @@ def test_csv_round_trip(spark, tmp_path):
 @pytest.mark.parametrize("uri", ["/tmp/x", "file:/tmp/x", "file:///tmp/x"])
 def test_local_locations(uri):
     assert files.filesystem_of(uri)[1] == "/tmp/x"
+
+
+def test_members_of_one_name(spark, tmp_path):
+    """Two archives with a member of the same name: both come out."""
+    import zipfile
+
+    (tmp_path / "zips").mkdir()
+    for n in (1, 2):
+        with zipfile.ZipFile(tmp_path / "zips" / f"part{n}.zip", "w") as archive:
+            archive.writestr("JC-same.csv", f"a\n{n}\n")
+            archive.writestr(f"JC-own{n}.csv", f"a\n{n}0\n")
+    report = archives.extract_archives(spark, f"{tmp_path}/zips/*.zip", str(tmp_path / "raw")).collect()
+    assert [r["error"] for r in report] == [None] * 4
+    found = spark.read.option("header", True).csv(f"{tmp_path}/raw/JC-*.csv")
+    assert sorted(r["a"] for r in found.collect()) == ["1", "10", "2", "20"]
+
+
+def test_unusable_files_do_not_stop_the_scan(spark, tmp_path):
+    header = "ride_id,started_at,ended_at,start_station_id,end_station_id"
+    (tmp_path / "JC-good.csv").write_text(f"{header}\n1,NA,2024-01-01 00:00:00,null,b\n2,2024-01-01 00:00:00,2024-01-01 00:01:00,a,b\n")
+    (tmp_path / "JC-junk.csv").write_bytes(b"x" * 200_000)
+    (tmp_path / "JC-twice.csv").write_text(f"{header},RIDE_ID\n1,2,3,4,5,6\n")
+    scan = trip_csv.scan_trips(spark, f"{tmp_path}/JC-*.csv")
+    rows = {r["ride_id"]: r for r in scan.rows.collect()}
+    assert rows["1"]["started_at"] is None and rows["1"]["start_station_id"] is None and rows["2"]["start_station_id"] == "a"
+    reasons = {r["path"].rsplit("/", 1)[-1]: r["reason"] for r in scan.rejected_files.collect()}
+    assert reasons == {"JC-junk.csv": "no line end in the first 65536 bytes", "JC-twice.csv": "repeated column name"}
+
+
+def test_one_task_for_each_row(spark):
+    listing = spark.createDataFrame([(f"file-{n}",) for n in range(64)], "path string")
+    spread = files.one_task_each(listing, ["path"])
+    assert spread.select(F.spark_partition_id()).distinct().count() >= 60
