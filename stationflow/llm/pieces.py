@@ -132,7 +132,7 @@ class Model:
     def unit_pattern(self) -> re.Pattern[str]:
         """Units; a line end is one of its own where no piece holds it."""
         ends = "" if any("\n" in p for p in self.ids) else "\n"
-        return re.compile(f"{SPACE}*[^{SPACE}{ends}]+|{SPACE}+" + (f"|{ends}" if ends else ""))
+        return re.compile(f" *[^ {ends}]+| +" + (f"|{ends}" if ends else ""))
 
     @property
     def id_type(self) -> str:
@@ -146,13 +146,14 @@ class Model:
         return sentencepiece.SentencePieceProcessor(model_proto=self.proto)
 
     def units(self, text: str) -> list[str]:
-        if text and self.dummy_prefix:
-            text = " " + text
-        return self.unit_pattern.findall(text.replace(" ", SPACE))
+        """The units of a text, with plain spaces; the model's own sign for a space counts as one."""
+        if SPACE in text:
+            text = text.replace(SPACE, " ")
+        return self.unit_pattern.findall(" " + text if text and self.dummy_prefix else text)
 
     def segment_ids(self, unit: str, cuts: int) -> list[int]:
         """Ids of a unit cut at the set bits; characters outside the table become bytes or unknown."""
-        found, at = [], 0
+        found, at, unit = [], 0, unit.replace(" ", SPACE)
         for end in range(1, len(unit) + 1):
             if cuts >> end & 1:
                 piece = unit[at:end]
@@ -166,23 +167,21 @@ class Model:
                 at = end
         return found
 
-    def decoded(self, ids: np.ndarray) -> str:
-        """The text of an id sequence, without the space that encoding put in front."""
-        out, raw = [], bytearray()
-        types, pieces = self.types, self.pieces
-        for n in ids.tolist():
-            if types[n] == BYTE:
-                raw.append(int(pieces[n][3:5], 16))
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            if types[n] == NORMAL:
-                out.append(pieces[n])
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(SPACE, " ")
-        return text[1:] if self.dummy_prefix and text.startswith(" ") else text
+    @cached_property
+    def piece_bytes(self) -> list[bytes]:
+        """What each id stands for in a text: a byte, the characters of a piece, or nothing."""
+
+        def own(piece: str, kind: int) -> bytes:
+            if kind == BYTE:
+                return bytes([int(piece[3:5], 16)])
+            return piece.replace(SPACE, " ").encode() if kind == NORMAL else b""
+
+        return [own(p, t) for p, t in zip(self.pieces, self.types)]
+
+    def decoded(self, ids: np.ndarray) -> bytes:
+        """The text of an id sequence in UTF-8, without the space that encoding put in front."""
+        text = b"".join(map(self.piece_bytes.__getitem__, ids.tolist()))
+        return text[1:] if self.dummy_prefix and text.startswith(b" ") else text
 
 
 def count_units(docs: DataFrame, model: Model) -> DataFrame:
@@ -219,16 +218,18 @@ def lattice(units: DataFrame, model: Model, shortest: int) -> DataFrame:
     """``units`` with an array ``edges`` per unit: cost, first and last place of each piece found.
 
     The edges of a BPE model are packed into one number each, which sorts by cost, then place.
-
     Substrings from ``shortest`` characters up to the longest piece are joined to the piece table.
     Units are already dealt by unit, so nothing is shuffled.  Each unit keeps its first substring,
-    matched or not, so that a unit without matches keeps its row.
+    matched or not, so that a unit without matches, or of a length that is not cut, keeps its row.
     """
     longest = max(map(len, model.ids), default=1)
     length = F.length("unit")
-    starts = units.select("*", F.explode(F.sequence(F.lit(0), length - shortest)).alias("first"))
-    spans = starts.select("*", F.explode(F.sequence(F.col("first") + shortest, F.least(length, F.col("first") + longest))).alias("last"))
-    parts = spans.select("*", F.substring("unit", F.col("first") + 1, F.col("last") - F.col("first")).alias("piece"))
+    fits = length.between(shortest, LONGEST_UNIT)
+    form = F.translate("unit", " ", SPACE).alias("form")
+    starts = units.select("unit", "n", form, F.explode(F.when(fits, F.sequence(F.lit(0), length - shortest)).otherwise(F.array(F.lit(0)))).alias("first"))
+    until = F.when(fits, F.least(length, F.col("first") + longest)).otherwise(shortest)
+    spans = starts.select("*", F.explode(F.sequence(F.col("first") + shortest, until)).alias("last"))
+    parts = spans.select("unit", "n", "first", "last", F.substring("form", F.col("first") + 1, F.col("last") - F.col("first")).alias("piece"))
     found = parts.join(piece_table(units.sparkSession, model, shortest), "piece", "left")
     found = found.where(F.col("cost").isNotNull() | ((F.col("first") == 0) & (F.col("last") == shortest)))
     packed = F.col("cost").cast("long") * PLACES * PLACES + F.col("first") * PLACES + F.col("last")
@@ -252,7 +253,8 @@ def merge_fold(edges: DataFrame) -> DataFrame:
     of equal ones.  One pass over the sorted edges does that, unless a unit holds a piece that can
     come up after its turn; such units look for the cheapest merge again after every merge.
     """
-    everywhere = _bit(F.length("unit") + 1) - 1
+    # Units beyond the set's size are not cut here; the bound only keeps the shift in range.
+    everywhere = _bit(F.least(F.length("unit"), F.lit(LONGEST_UNIT)) + 1) - 1
 
     def merged(cuts: Column, edge: Column) -> Column:
         ends, inner = _ends(edge)
@@ -291,17 +293,18 @@ def viterbi_fold(edges: DataFrame, model: Model) -> DataFrame:
         return F.concat(best, F.array(F.array_min(ways)))
 
     start = F.array(F.struct(F.lit(0.0).alias("cost"), F.lit(1).cast("long").alias("cuts")))
-    folded = F.aggregate(F.sequence(F.lit(1), F.length("unit")), start, step, lambda best: F.element_at(best, -1)["cuts"])
+    places = F.sequence(F.lit(1), F.least(F.length("unit"), F.lit(LONGEST_UNIT)))
+    folded = F.aggregate(places, start, step, lambda best: F.element_at(best, -1)["cuts"])
     return edges.select("unit", "n", folded.alias("cuts"))
 
 
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
     """``unit, n, ids`` (little-endian binary) for each distinct unit."""
     shortest = 2 if model.kind == BPE else 1
-    fits = F.length("unit").between(shortest, LONGEST_UNIT)
-    edges = lattice(units.where(fits), model, shortest)
+    edges = lattice(units, model, shortest)
     cut = merge_fold(edges) if model.kind == BPE else viterbi_fold(edges, model)
-    whole = units.where(~fits).select("unit", "n", F.lit(None).cast("long").alias("cuts"))
+    fits = F.length("unit").between(shortest, LONGEST_UNIT)
+    cut = cut.select("unit", "n", F.when(fits, F.col("cuts")).alias("cuts"))
 
     def to_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -316,8 +319,7 @@ def encode_units(units: DataFrame, model: Model) -> DataFrame:
                 found.append(np.array(ids, model.id_type).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["unit", "n", "ids"])
 
-    # Counted units are dealt out once; both branches read the same exchange.
-    return cut.unionByName(whole).mapInArrow(to_ids, "unit string, n long, ids binary")
+    return cut.mapInArrow(to_ids, "unit string, n long, ids binary")
 
 
 def _lookup(head: pa.Table) -> dict[str, bytes]:
@@ -401,7 +403,7 @@ def decode(encoded: DataFrame, model: Model) -> DataFrame:
 
     @F.arrow_udf("string")
     def text_of(blobs: pa.Array) -> pa.Array:
-        return pa.array([None if b is None else model.decoded(unpacked(b, model)) for b in blobs.to_pylist()], pa.string())
+        return pa.array([None if b is None else model.decoded(unpacked(b, model)).decode("utf-8", "replace") for b in blobs.to_pylist()], pa.string())
 
     return encoded.withColumn(fresh_name(encoded, "text"), text_of(F.col("ids")))
 
@@ -416,7 +418,7 @@ def digests(docs: DataFrame, model: Model) -> DataFrame:
         found = []
         for blob in blobs.to_pylist():
             ids = unpacked(blob, model)
-            text = model.decoded(ids).encode()
+            text = model.decoded(ids)
             found.append((len(ids), int(bytes_of[ids].sum()), zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(text), len(text)))
         names = ["n_pieces", "n_byte_pieces", "ids_crc32", "text_crc32", "text_bytes"]
         columns = list(zip(*found)) if found else [()] * len(names)
