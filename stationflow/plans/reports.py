@@ -63,12 +63,16 @@ def station_mae(metrics: DataFrame, station: str, model: str) -> DataFrame:
 
 
 def mae_table(metrics: DataFrame, stations: DataFrame, models: DataFrame) -> DataFrame:
-    """Model, station name, strategy and MAE of all named stations, with a display index from 1."""
+    """Model, station name, strategy and MAE of all named stations, with a display index from 1.
+
+    Stations of one name are told apart by their id, so that the numbering has no ties.
+    """
     named = with_model_labels(with_station_name(metrics, stations), models)
     shown = named.where(F.col("station_name").isNotNull()).select(
-        "model_label", "station_name", "strategy_label", "mae"
+        "model_label", "station_name", "strategy_label", "mae", "model", "station_id"
     )
-    return number_rows(shown, ["model_label", "station_name"], "display_index")
+    numbered = number_rows(shown, ["model_label", "station_name", "model", "station_id"], "display_index")
+    return numbered.drop("model", "station_id")
 
 
 def model_ranking(metrics: DataFrame, models: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from stationflow.operators.filters import newer_than_per_station
 from stationflow.operators.series import keep_last
+from stationflow.session import fixed
 
 
 class TableMissing(Exception):
@@ -19,8 +20,10 @@ class TableMissing(Exception):
 class TableStore:
     """Feature, prediction, forecast and metric tables.
 
-    A version counts only once its job has committed (``_SUCCESS``), so a reader never sees a
-    half-written one.
+    A version counts only once its job has committed (``_SUCCESS``), so a reader never sees a new
+    version half-written.  ``append`` and ``replace_partitions`` change a version in place: their files
+    move in one by one, and who needs them all at once reads what a marker of its own names, as the
+    load jobs do.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -101,6 +104,8 @@ class TableStore:
         ``order`` names ingest-order columns: of several rows with one key the last stays.
         """
         stored = self.read(name, version)
+        # The mark and the write both need the rows.
+        rows = fixed(rows, "offered")
         if per_station:
             fresh = newer_than_per_station(rows, stored, time)
             if fresh.isEmpty():

@@ -11,7 +11,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
 
 from stationflow.config import DEFAULTS, lag_names
+from stationflow.operators.series import add_calendar
 from stationflow.schemas import HOURLY_RIDES
+from stationflow.streaming.hourly import stream_hourly
 
 LAGGED = StructType(HOURLY_RIDES.fields + [StructField(name, LongType()) for name in lag_names()])
 STATE = "last_hour timestamp_ntz, recent array<bigint>"
@@ -27,6 +29,11 @@ class _LagState(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.series = handle.getValueState("series", STATE)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Start from the stored end of the series, at most 28 rows."""
+        end = initialState.sort_values("hour").tail(DEFAULTS.n_lags)
+        self.series.update((end["hour"].iloc[-1].to_pydatetime(), end["rides"].astype("int64").tolist()))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # The new hours of one station in one batch, bounded by the calendar.
         new = pd.concat(rows).sort_values("hour")
@@ -65,8 +72,21 @@ def lag_state_store(spark: SparkSession):
             spark.conf.set(name, before)
 
 
-def stream_lags(finished_hours: DataFrame) -> DataFrame:
-    """Lags of a stream of finished ``station_id, hour, rides`` rows that arrive in hour order."""
+def stream_lags(finished_hours: DataFrame, series_end: DataFrame | None = None) -> DataFrame:
+    """Lags of a stream of finished ``station_id, hour, rides`` rows that arrive in hour order.
+
+    ``series_end`` holds the last stored rows of each station: with it the first hours of the stream
+    have all their lags, and hours that are stored already are passed over.
+    """
+    seeds = None if series_end is None else series_end.select("station_id", "hour", "rides").groupBy("station_id")
     return finished_hours.groupBy("station_id").transformWithStateInPandas(
-        statefulProcessor=_LagState(), outputStructType=LAGGED, outputMode="Append", timeMode="None"
+        statefulProcessor=_LagState(), outputStructType=LAGGED, outputMode="Append", timeMode="None", initialState=seeds
     )
+
+
+def stream_features(trips: DataFrame, delay: str, series_end: DataFrame | None = None) -> DataFrame:
+    """Clean trips to finished hours to feature rows, as one stream.
+
+    An hour is finished when the newest trip is ``delay`` past its end.
+    """
+    return add_calendar(stream_lags(stream_hourly(trips, delay), series_end))

@@ -7,13 +7,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stationflow.functions.times import lenient_time
 from stationflow.operators.trips import clean_trips
+from stationflow.plans import jobs
 from stationflow.schemas import HOURLY_RIDES, TRIPS_RAW
 from stationflow.session import scratch
 from stationflow.sources.store import TableStore
 from stationflow.sources.trip_csv import export_csv
 from stationflow.streaming.hourly import drain_append, drain_changes, stream_files, stream_hourly
-from stationflow.streaming.lags import lag_state_store, stream_lags
+from stationflow.streaming.lags import lag_state_store, stream_features, stream_lags
 from stationflow.streaming.sinks import append_newer, compact, current_rows
 from suite import tables as t
 from suite.tables import LAG_LIST, Query, sql
@@ -85,6 +87,24 @@ def _(spark, sf):
     return spark.read.parquet(out)
 
 
+@query("st4_stream_features", sql("SELECT * FROM features_clean", "features_clean"))
+def _(spark, sf):
+    """History loaded as a batch, then raw trip files as a stream that starts from the end of each series."""
+    landing, out, checkpoint = (scratch(spark, name) for name in ("landing", "features", "checkpoint"))
+    store = TableStore(spark, scratch(spark, "store"))
+    raw = t.raw_trips(spark, sf).withColumn("old", F.coalesce(lenient_time(F.col("started_at")) < F.lit("2024-01-10").cast("timestamp_ntz"), F.lit(True)))
+    jobs.load_history(store, raw.where("old").drop("old"))
+    # A trip long after all others finishes every hour before it; its own hour stays open.
+    last = raw.where("not old").agg(F.lit("last").alias("ride_id"), F.lit("2030-01-01 00:00:00").alias("started_at"))
+    last = last.select("*", F.col("started_at").alias("ended_at"), F.lit("-").alias("start_station_id"), F.lit("-").alias("end_station_id"))
+    export_csv(raw.where("not old").drop("old").repartition(3).unionByName(last), landing)
+    trips = clean_trips(stream_files(spark, landing, TRIPS_RAW, "csv", FILES_PER_BATCH))
+    with lag_state_store(spark):
+        drain_append(stream_features(trips, NOTHING_LATE, jobs.series_end(store)), out, checkpoint)
+    new = spark.read.parquet(out)
+    return jobs.features(store).unionByName(new)
+
+
 @query("st5_stream_append", sql("SELECT station_id, hour, rides FROM hourly", "hourly"))
 def _(spark, sf):
     """Hourly rows appended to a stored table batch by batch, then the same files once more."""

@@ -1,6 +1,8 @@
 from datetime import datetime, timedelta
 
 from stationflow.schemas import HOURLY_RIDES
+from stationflow.sources.store import TableStore
+from stationflow.streaming import sinks
 from stationflow.streaming.hourly import drain_append, drain_changes, stream_files, stream_hourly
 from stationflow.streaming.lags import lag_state_store, stream_lags
 from stationflow.streaming.sinks import current_rows
@@ -50,3 +52,26 @@ def test_stream_lags_skip_old_hours(spark, tmp_path):
             drain_append(stream_lags(stream_files(spark, f"{landing}/*", HOURLY_RIDES)), out, checkpoint)
     rows = spark.read.parquet(out).orderBy("hour").collect()
     assert [(r["rides"], r["lag_1"], r["lag_28"]) for r in rows] == [(28, 27, 0), (29, 28, 1), (30, 29, 2)]
+
+
+def test_compaction_bounds_the_log(spark, tmp_path, plan):
+    """Batches, a compaction, more batches: the view stays right and the log holds the new ones only."""
+    log, store = str(tmp_path / "log"), TableStore(spark, str(tmp_path / "store"))
+    write = sinks.write_changes(log)
+
+    def batch(number, *rows):
+        write(spark.createDataFrame(rows, "station_id string, hour timestamp_ntz, rides long"), number)
+
+    first, second = datetime(2024, 1, 1), datetime(2024, 1, 1, 1)
+    batch(0, ("a", first, 1), ("b", first, 1))
+    batch(1, ("a", first, 2))
+    view = sinks.current_rows(spark, log, ["station_id", "hour"])
+    assert "Sort" not in plan(view)
+    assert sinks.compact(spark, log, ["station_id", "hour"], store, "rides") == 1
+    assert sinks.batches(spark, log) == []
+    batch(2, ("b", first, 5), ("b", second, 7))
+    now = sinks.current_rows(spark, log, ["station_id", "hour"], store.read("rides", version=None))
+    want = {("a", first, 2), ("b", first, 5), ("b", second, 7)}
+    assert {tuple(r) for r in now.collect()} == want
+    assert sinks.compact(spark, log, ["station_id", "hour"], store, "rides") == 2
+    assert {tuple(r) for r in store.read("rides", version=None).collect()} == want
