@@ -38,27 +38,32 @@ END_ID = 1
 LEVEL = 3
 
 # Input bytes that go into one file.
-FILE_BYTES = 32 << 20
+FILE_BYTES = 16 << 20
 # The dictionary is trained on the first ids of a bounded number of documents.
 DICTIONARY_BYTES = 112 << 10
 SAMPLE_DOCS = 1_000
 SAMPLE_IDS = 4_096
-# Distinct words whose ids a task remembers, and words encoded by one call.
-KNOWN_WORDS = 500_000
+# Distinct words whose ids a task remembers in each of two generations, and words encoded by one call.
+KNOWN_WORDS = 400_000
 WORDS_A_CALL = 512
+# Punctuation that is taken off a word's end; no apostrophe, which the tokenizer joins to letters.
+ENDINGS = b".,!?;:*#$%&|"
 
 MANIFEST = "part int, path string, documents long, ids long, bytes long"
 
 
 @dataclass
 class WordEncoder:
-    """Encodes texts with a tokenizers file that never joins characters across ASCII spaces.
+    """Encodes texts with a tokenizers file that lower-cases and never joins characters across ASCII spaces.
 
-    Each distinct word is encoded once by the library and remembered.
+    Each distinct word is encoded once by the library and remembered.  An ASCII word is looked up
+    without the punctuation at its end and in lower case, as the tokenizer cuts it there itself; the
+    words seen last are kept in two generations, so that common ones are not forgotten.
     """
 
     path: str
     known: dict[bytes, bytes] = field(default_factory=dict)
+    older: dict[bytes, bytes] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,27 +72,47 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(self.path)
         self.id_type = np.dtype("<u2" if self.tokenizer.get_vocab_size() < 1 << 16 else "<u4")
 
-    def learn(self, words: Sequence[bytes]) -> None:
+    def by_library(self, words: Sequence[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Words and their ids; many words go through one call and are told apart by their places."""
         chunks = [[w.decode("utf-8", "replace") for w in words[at : at + WORDS_A_CALL]] for at in range(0, len(words), WORDS_A_CALL)]
         encoded = self.tokenizer.encode_batch([" ".join(c) for c in chunks], add_special_tokens=False)
+        width = self.id_type.itemsize
         for n, (chunk, e) in enumerate(zip(chunks, encoded)):
-            starts = np.cumsum([0] + [len(w) + 1 for w in chunk[:-1]])
+            starts = np.cumsum([0] + [len(w) + 1 for w in chunk])
             places = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
-            owner = np.searchsorted(starts, places, side="right") - 1
-            cuts = np.searchsorted(owner, np.arange(1, len(chunk)))
-            parts = np.split(np.array(e.ids, self.id_type), cuts)
-            for word, ids in zip(words[n * WORDS_A_CALL :], parts):
-                self.known[word] = ids.tobytes()
-
-    def encode(self, text: bytes) -> bytes:
-        """Little-endian ids of a text in UTF-8."""
-        words = text.split()
+            cuts = (np.searchsorted(places, starts) * width).tolist()
+            ids = np.array(e.ids, self.id_type).tobytes()
+            yield from ((w, ids[a:b]) for w, a, b in zip(words[n * WORDS_A_CALL :], cuts, cuts[1:]))
+
+    def learn(self, words: set[bytes]) -> None:
+        known, older = self.known, self.older
+        parts = {}
+        for word in words:
+            if (ids := older.get(word)) is not None:
+                known[word] = ids
+            elif word.isascii():
+                low = word.lower()
+                core = low.rstrip(ENDINGS)
+                # Only after a letter or digit does the tokenizer cut before the punctuation.
+                parts[word] = (core, low[len(core) :]) if core and core[-1:].isalnum() else (low, b"")
+            else:
+                parts[word] = (word, b"")
+        pieces = {p for pair in parts.values() for p in pair if p}
+        found = {p: ids for p in pieces if (ids := known.get(p) or older.get(p)) is not None}
+        found |= self.by_library(sorted(pieces - found.keys()))
+        found[b""] = b""
+        known.update((word, found[core] + found[end]) for word, (core, end) in parts.items())
+        known.update((p, found[p]) for p in pieces)
+
+    def encode(self, texts: Sequence[bytes | None]) -> Iterator[bytes]:
+        """Little-endian ids of texts in UTF-8; new words of all of them are learnt together."""
+        words = [t.split() if t else [] for t in texts]
         if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        if new := {w for w in words if w not in self.known}:
-            self.learn(sorted(new))
-        known = self.known
-        return b"".join([known[w] for w in words])
+            self.known, self.older = {}, self.known
+        if new := set().union(*words).difference(self.known):
+            self.learn(new)
+        for own in words:
+            yield b"".join(map(self.known.__getitem__, own))
 
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, sample_docs: int = SAMPLE_DOCS) -> bytes:
@@ -105,7 +130,7 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, sample_docs: int = SA
         encoder = WordEncoder(tokenizer_path)
         cut = SAMPLE_IDS * encoder.id_type.itemsize
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([encoder.encode(t)[:cut] for t in batch.column(0).to_pylist()], pa.binary())], ["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([ids[:cut] for ids in encoder.encode(batch.column(0).to_pylist())], pa.binary())], ["ids"])
 
     sample = docs.where((key <= limit) & F.col("text").isNotNull()).select(F.col("text").cast("binary")).limit(sample_docs)
     samples = sorted(bytes(r["ids"]) for r in sample.mapInArrow(first_ids, "ids binary").collect())
@@ -164,8 +189,8 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None) -> To
             if sink is None and batch.num_rows:
                 sink = filesystem.open_output_stream(f"{base}/{name}")
                 sink.write(struct.pack(HEAD, MAGIC, encoder.id_type.itemsize, digest))
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = encoder.encode(text or b"") + end
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
+                ids += end
                 frame = pack(ids)
                 sink.write(frame)
                 index.append((doc_id or 0, doc_id is None, at, len(frame), len(ids) // encoder.id_type.itemsize))
