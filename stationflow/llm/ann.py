@@ -39,7 +39,7 @@ LEAST_CELLS, MOST_CELLS = 64, 4_096
 SLICE_ROWS = 65_536
 FIRST_CELLS = 2
 # Projected neighbours verified between two tests.
-STEP = 128
+STEP = 512
 
 
 def chi_square_quantile(p: float, degrees: int) -> float:
@@ -109,26 +109,32 @@ def _lists(values: np.ndarray) -> pa.Array:
 
 
 def _nearest(
-    data: np.ndarray, projected: np.ndarray, counts: np.ndarray, query: np.ndarray, query_projected: np.ndarray, wanted: int, factor: float, flat: float
-) -> tuple[np.ndarray, np.ndarray, float]:
+    data: np.ndarray, projected: np.ndarray, counts: np.ndarray, query: np.ndarray, query_projected: np.ndarray,
+    wanted: int, factor: float, flat: float, bound: float,
+) -> tuple[np.ndarray, np.ndarray, float]:
     """Rows of the nearest vectors that cover ``wanted`` ids, their inner products, and the distance reached.
 
     ``flat`` is the sum of the query's and the common squared norm: a squared distance is ``flat``
-    less twice the inner product.  With too few ids the distance is infinite.
+    less twice the inner product.  ``bound`` is a distance within which enough ids are known to lie;
+    vectors farther off are left out.  With too few ids the distance reached stays at the bound.
     """
     away = ((projected - query_projected) ** 2).sum(axis=1)
-    order = np.argsort(away, kind="stable")
-    best, score, reached = np.empty(0, dtype=np.int64), np.empty(0), math.inf
+    order = np.nonzero(away <= factor * bound)[0]
+    order = order[np.argsort(away[order], kind="stable")]
+    best, score, reached = np.empty(0, dtype=np.int64), np.empty(0), bound
     for at in range(0, len(order), STEP):
         if away[order[at]] > factor * reached:
             break
         rows = order[at : at + STEP]
-        best, score = np.append(best, rows), np.append(score, (data[rows] * query).sum(axis=1))
+        product = (data[rows] * query).sum(axis=1)
+        # A little more than the bound, so that rounding leaves no tie out.
+        near = flat - 2 * product <= reached * (1 + 1e-9) + 1e-9
+        best, score = np.append(best, rows[near]), np.append(score, product[near])
         kept = np.argsort(-score, kind="stable")
         covered = np.cumsum(counts[best[kept]])
         if len(covered) and covered[-1] >= wanted:
             last = int(np.searchsorted(covered, wanted))
-            reached = max(0.0, flat - 2 * score[kept[last]])
+            reached = min(reached, max(0.0, flat - 2 * score[kept[last]]))
             # Vectors that tie with the last one stay, as ids decide between them.
             kept = kept[score[kept] >= score[kept[last]]]
         best, score = best[kept], score[kept]
@@ -147,8 +153,9 @@ def _visit(index: DataFrame, probes: DataFrame, width: int, wanted: int, factor:
             data, projected = _matrix(points.column("v"), width), _matrix(points.column("p"), PROJECTED)
             ids = points.column("ids").to_pylist()
             counts = np.array([len(i) for i in ids])
-            for v, p in zip(asked, _matrix(queries.column("p"), PROJECTED)):
-                rows, scores, reached = _nearest(data, projected, counts, v, p, wanted, factor, float(v @ v) + common)
+            bounds = queries.column("reached").to_pylist()
+            for v, p, bound in zip(asked, _matrix(queries.column("p"), PROJECTED), bounds):
+                rows, scores, reached = _nearest(data, projected, counts, v, p, wanted, factor, float(v @ v) + common, bound)
                 near = sorted((-float(s), i) for r, s in zip(rows.tolist(), scores) for i in ids[r])[:wanted]
                 out_found.append([{"far": far, "vec_id": i} for far, i in near])
                 out_reached.append(reached)
@@ -239,7 +246,7 @@ def search(
                 v = _matrix(batch.column("v"), width)
                 # A query has nothing in the added component.
                 p = v @ projection[:width]
-                reached = batch.column("reached").to_pylist() if second else [0.0] * len(v)
+                reached = batch.column("reached").to_pylist() if second else [math.inf] * len(v)
                 whose, chosen = [], []
                 for n, (point, r) in enumerate(zip(p, reached)):
                     away = boxes_away(point)
@@ -247,15 +254,14 @@ def search(
                     own = order[FIRST_CELLS:][away[order[FIRST_CELLS:]] <= factor * r] if second else order[:FIRST_CELLS]
                     whose += [n] * len(own)
                     chosen += numbers[own].tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [_lists(v).take(pa.array(whose, pa.int64())), _lists(p).take(pa.array(whose, pa.int64())), pa.array(chosen, pa.int32())],
-                    ["v", "p", "cell"],
-                )
+                who = pa.array(whose, pa.int64())
+                columns = [_lists(v), _lists(p), pa.array(reached, pa.float64())]
+                yield pa.RecordBatch.from_arrays([*(c.take(who) for c in columns), pa.array(chosen, pa.int32())], ["v", "p", "reached", "cell"])
 
         return cells_of
 
     def probes(queries: DataFrame, second: bool) -> DataFrame:
-        visits = queries.mapInArrow(plan(second), "v array<double>, p array<double>, cell int")
+        visits = queries.mapInArrow(plan(second), "v array<double>, p array<double>, reached double, cell int")
         return visits.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
 
     first = fixed(_visit(index, probes(asked_once, False), width, wanted, factor, common), "first-round")

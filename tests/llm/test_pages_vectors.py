@@ -52,7 +52,7 @@ def test_header_predicates_are_taken_by_the_reader(spark, folder):
     assert archive.where(F.col("record_id").isin("urn:page:4", "urn:page:5") & F.col("target_uri").startswith("v")).count() == 1
     assert archive.where("payload_bytes = 150").count() == 1
     plan = archive.where("record_type = 'revisit'")._jdf.queryExecution().executedPlan().toString()
-    assert "Filter" not in plan
+    assert "Filter" not in plan.replace("RuntimeFilters", "")
 
 
 def test_files_are_ordinary_gzip(folder):
