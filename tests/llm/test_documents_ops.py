@@ -273,6 +273,35 @@ def test_added_spans_come_from_the_trees(spark):
         assert r["n_phone"] == 1 and r["spans"].startswith("phone:")
 
 
+def test_spans_the_base_patterns_miss_are_added(spark):
+    """Learnt from base spans and numbers only: other forms are added, look-alikes are not."""
+    rng = np.random.default_rng(8)
+    number = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+
+    def card():
+        d = "4" + number(14)
+        return d + next(c for c in "0123456789" if brute_valid("card", d + c))
+
+    ip = lambda: ".".join(str(n) for n in rng.integers(1, 256, 4))
+    rows = [
+        (i, f"le menta +1 ({number(3)}) 555-{number(4)} the {card()} ciro bo.{number(2)}@mail{number(1)}.example.com of {ip()} en {number(16)} or {number(8)} x")
+        for i in range(400)
+    ]
+    c = card()
+    groups = [c[n : n + 4] for n in range(0, 16, 4)]
+    broken = groups[:3] + [f"{(int(groups[3]) + 1) % 10000:04d}"]
+    missed = {
+        1000: ("email", "ana.01 [at] mail2.example.com"), 1001: ("email", "bo(at)mail3.example.org"), 1002: ("phone", "(768) 555-9731"),
+        1003: ("phone", "1 (768) 555-9731"), 1004: ("phone", "768.555.9731"), 1005: ("card", ".".join(groups)), 1006: ("ip", "10[.]20[.]30[.]40"),
+        1007: ("email", "ana [at] example [dot] com"),
+    }
+    alike = {2000: "ana [at] noon", 2001: "2021-04-12 10:30", 2002: "555-9731", 2003: ".".join(broken), 2004: "10[.]20[.]300[.]40", 2005: "12:30:45"}
+    rows += [(i, f"so ela {hit} und en") for i, (_, hit) in missed.items()] + [(i, f"so ela {hit} und en") for i, hit in alike.items()]
+    frame = ready(spark).createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in pii.find(frame, pii.learn(frame)).where("doc_id >= 1000").collect()}
+    assert found == {i: f"{kind}:7:{7 + len(hit)}" for i, (kind, hit) in missed.items()} | dict.fromkeys(alike, "")
+
+
 def test_redaction(edge):
     clean = pii.redact(edge)
     assert clean.columns == edge.columns
