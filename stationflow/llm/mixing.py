@@ -2,6 +2,8 @@
 
 Every document has a place in a fixed pseudo-random order.  A source whose target is 1.3 times its
 size gives one full pass over its documents and a second pass over the first 30 % of that order.
+The last pass is cut for each size level by itself, long documents first, so that what a level leaves
+over is filled by shorter documents.
 Runs of the order are blocks; a source's block quota is the number of blocks its passes draw.  The
 tree halves the vector of quotas at random, exactly, until each output shard has its own quotas; a
 source's permuted blocks are then dealt to the shards by these, so no block is drawn twice.
@@ -36,14 +38,16 @@ LEAST_SHARDS = 64
 BLOCKS_PER_SHARD = 16
 # Longer tables of blocks are joined without a broadcast mark.
 BROADCAST_ROWS = 200_000
-# A source's last pass ends between documents; about this many of those that follow are looked
-# through for the one that fills what is left best.
-FILLERS = 512
+# Documents of one size level differ in length by less than this power of two.
+LEVEL_BITS = 2
 
 
 @dataclass(frozen=True)
 class Share:
-    """What one source gives: its words, its target, full passes, how far the last pass goes, and what fills it up."""
+    """What one source gives: its words, its target, full passes, how far the last pass goes, and what fills it up.
+
+    ``cuts`` has the end of the last pass for each size level, ``cut`` the furthest of them.
+    """
 
     source: str | None
     words: int
@@ -52,6 +56,7 @@ class Share:
     rest: float
     cut: int = -1
     filler: int = -1
+    cuts: tuple[int, ...] = ()
 
 
 def targets(words: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_PASSES) -> dict[str | None, float]:
@@ -109,6 +114,11 @@ def _order(seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 64 - ORDER_BITS)
 
 
+def _level(size: Column) -> Column:
+    """Size level of a text with ``size`` words, by the bits of that number."""
+    return F.floor((F.length(F.bin(size)) - 1) / LEVEL_BITS).cast("int")
+
+
 def _cell(order: Column) -> Column:
     return F.shiftright(order, ORDER_BITS - CELL_BITS)
 
@@ -116,49 +126,84 @@ def _cell(order: Column) -> Column:
 def shares(docs: DataFrame, seed: int = SEED) -> list[Share]:
     """The decisions for all sources, one entry each; only such rows come to the driver."""
     spark = docs.sparkSession
-    placed = docs.select("source", "doc_id", "text", _order(seed).alias("order"))
-    cells = fixed(
-        placed.groupBy("source", _cell(F.col("order")).alias("cell")).agg(F.sum(_size(F.col("text"))).alias("words"), F.count("*").alias("rows")), "cells"
-    )
-    totals = cells.groupBy("source").agg(F.sum("words").alias("words"), F.sum("rows").alias("rows")).collect()
-    words = {r["source"]: r["words"] for r in totals}
-    reach = {r["source"]: min(1 << CELL_BITS, (FILLERS << CELL_BITS) // r["rows"]) for r in totals}
+    # Texts are counted once; from here on a document is three numbers and its source.
+    units = docs.select("source", _order(seed).alias("order"), _size(F.col("text")).alias("words"))
+    units = fixed(units.withColumn("level", _level(F.col("words"))), "units")
+    cells = fixed(units.groupBy("source", "level", _cell(F.col("order")).alias("cell")).agg(F.sum("words").alias("words")), "cells")
+    of_level: dict[str | None, dict[int, int]] = {}
+    for r in cells.groupBy("source", "level").agg(F.sum("words").alias("words")).collect():
+        of_level.setdefault(r["source"], {})[r["level"]] = r["words"]
+    words = {s: sum(levels.values()) for s, levels in of_level.items()}
     found = []
     for source, target in targets(words).items():
         passes = int(target // words[source]) if words[source] else 0
         found.append(Share(source, words[source], target, passes, target - passes * words[source]))
-    partial = [(n, s.source, s.rest) for n, s in enumerate(found) if s.rest > 0]
-    if not partial:
+    need = {n: s.rest for n, s in enumerate(found) if s.rest > 0}
+    if not need:
         return found
-    # The cell in which the last pass ends.
-    wanted = _literal(spark, partial, "no int, source string, rest double")
-    by_source = W.partitionBy("no").orderBy("cell")
+    cuts = {n: [-1] * (max(of_level[found[n].source]) + 1) for n in need}
+    for level in sorted({v for n in need for v in of_level[found[n].source]}, reverse=True):
+        # A level gives its part of what is left; the shorter levels must be able to give the rest.
+        shorter = {n: sum(w for v, w in of_level[found[n].source].items() if v < level) for n in need}
+        own = {n: of_level[found[n].source].get(level, 0) for n in need}
+        wanted = [(n, found[n].source, need[n] * own[n] / (own[n] + shorter[n])) for n in need if own[n] and need[n] > 0]
+        for r in _ends(spark, units, cells, level, wanted):
+            n, ends = r["no"], [(r["cut"], r["below"])] + ([(r["next_cut"], r["above"])] if r["above"] is not None else [])
+            outside = lambda e: max(0.0, e[1] - need[n], need[n] - e[1] - shorter[n])  # noqa: B023, E731
+            cut, given = min(ends, key=lambda e: (outside(e), abs(e[1] - r["want"])))  # noqa: B023
+            cuts[n][level], need[n] = cut, need[n] - given
+    fillers = _fillers(spark, units, [(n, found[n].source, left, cuts[n]) for n, left in need.items() if left > 0])
+    for n, own_cuts in cuts.items():
+        found[n] = Share(**{**found[n].__dict__, "cut": max(own_cuts), "filler": fillers.get(n, -1), "cuts": tuple(own_cuts)})
+    return found
+
+
+def _ends(spark: SparkSession, units: DataFrame, cells: DataFrame, level: int, wanted: list[tuple[int, str | None, float]]) -> list:
+    """For each source the last document of a level up to which its order holds the wanted words at most, and the one after."""
+    if not wanted:
+        return []
+    asked = _literal(spark, wanted, "no int, asked string, want double")
+    by_cell = W.partitionBy("no").orderBy("cell")
+    # The cell in which the wanted words are reached; rounding may put them past the last one.
     ending = (
-        cells.join(wanted, cells["source"].eqNullSafe(wanted["source"])).drop("source")
-        .withColumn("through", F.sum("words").over(by_source))
-        .where(F.col("through") >= F.col("rest"))
-        .groupBy("no").agg(F.min("cell").alias("cell"), F.min_by(F.col("rest") - F.col("through") + F.col("words"), "cell").alias("need"))
+        cells.where(F.col("level") == level).join(asked, F.col("source").eqNullSafe(F.col("asked")))
+        .withColumn("through", F.sum("words").over(by_cell))
+        .withColumn("rank", F.when(F.col("through") > F.col("want"), F.col("cell")).otherwise((1 << CELL_BITS) + (1 << CELL_BITS) - F.col("cell")))
+        .groupBy("no", "source", "want").agg(F.min_by("cell", "rank").alias("cell"), F.min_by(F.col("through") - F.col("words"), "rank").alias("before"))
     )
-    ends = [(r["no"], (s := found[r["no"]].source), r["cell"], r["cell"] + reach[s], r["need"]) for r in ending.collect()]
-    # From there on, the last document that still fits, and a later one that fills the rest best.
-    ending = _literal(spark, ends, "no int, source string, cell long, until long, need double")
-    inside = placed.join(ending, placed["source"].eqNullSafe(ending["source"]) & _cell(F.col("order")).between(F.col("cell"), F.col("until")))
-    fits, whole = F.col("through") <= F.col("need"), W.partitionBy("no")
-    best = (
-        inside.groupBy("no", "cell", "need", "order").agg(F.sum(_size(F.col("text"))).alias("words"))
-        .withColumn("through", F.sum("words").over(whole.orderBy("order")))
-        .withColumn("left", F.col("need") - F.coalesce(F.max(F.when(fits, F.col("through"))).over(whole), F.lit(0)))
-        .groupBy("no", "cell", "left").agg(
-            F.max(F.when(fits, F.col("order"))).alias("cut"),
-            F.min(F.when(~fits, F.struct(F.abs(F.col("words") - F.col("left")).alias("miss"), "order"))).alias("filler"),
+    ends = [(r["no"], r["source"], r["want"], r["cell"], r["before"]) for r in ending.collect()]
+    ending = _literal(spark, ends, "no int, asked string, want double, cell long, before long")
+    by_order = W.partitionBy("no").orderBy("order")
+    fits = F.col("through") <= F.col("want")
+    inside = (
+        units.where(F.col("level") == level)
+        .join(ending, F.col("source").eqNullSafe(F.col("asked")) & (_cell(F.col("order")) == F.col("cell")))
+        .groupBy("no", "want", "cell", "before", "order").agg(F.sum("words").alias("words"))
+        .withColumn("through", F.col("before") + F.sum("words").over(by_order))
+        .groupBy("no", "want", "cell", "before").agg(
+            F.max(F.when(fits, F.struct("order", "through"))).alias("last"), F.min(F.when(~fits, F.struct("order", "through"))).alias("next")
         )
     )
-    for r in best.collect():
-        before = (r["cell"] << (ORDER_BITS - CELL_BITS)) - 1
-        fill = r["filler"] is not None and r["filler"]["miss"] < r["left"]
-        cut = r["cut"] if r["cut"] is not None else before
-        found[r["no"]] = Share(**{**found[r["no"]].__dict__, "cut": cut, "filler": r["filler"]["order"] if fill else -1})
-    return found
+    none = F.shiftleft(F.col("cell"), ORDER_BITS - CELL_BITS) - 1
+    return inside.select(
+        "no", "want", F.coalesce("last.order", none).alias("cut"), F.coalesce("last.through", "before").alias("below"),
+        F.col("next.order").alias("next_cut"), F.col("next.through").alias("above"),
+    ).collect()
+
+
+def _fillers(spark: SparkSession, units: DataFrame, left: list[tuple[int, str | None, float, list[int]]]) -> dict[int, int]:
+    """For each source the untaken document, if any, that brings it nearest to its target."""
+    if not left:
+        return {}
+    asked = _literal(spark, left, "no int, asked string, left double, cuts array<bigint>")
+    open_ = (
+        units.join(asked, F.col("source").eqNullSafe(F.col("asked")) & (F.col("words") > 0) & (F.col("words") < 2 * F.col("left")))
+        .where(F.col("order") > F.get("cuts", F.col("level")))
+        .groupBy("no", "left", "order").agg(F.sum("words").alias("words"))
+        .where(F.col("words") < 2 * F.col("left"))
+    )
+    best = open_.groupBy("no").agg(F.min(F.struct(F.abs(F.col("words") - F.col("left")).alias("miss"), "order")).alias("best"))
+    return {r["no"]: r["best"]["order"] for r in best.collect()}
 
 
 def blocks(given: list[Share], shards: int | None = None, seed: int = SEED) -> tuple[list[int], list[tuple[int, int, list[int]]]]:
@@ -197,12 +242,12 @@ def drawn(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataF
     spark = docs.sparkSession
     given = shares(docs, seed)
     bits, dealt = blocks(given, shards, seed)
-    names = {n: fresh_name(docs, f"mix_{n}") for n in ("no", "source", "words", "target", "passes", "cut", "filler", "bits", "order", "block", "of", "at", "deal")}
+    names = {n: fresh_name(docs, f"mix_{n}") for n in ("no", "source", "words", "target", "passes", "cut", "filler", "cuts", "bits", "order", "block", "of", "at", "deal")}
     c = {n: F.col(f"`{name}`") for n, name in names.items()}
     recipe = _literal(
         spark,
-        [(n, s.source, s.words, s.target, s.passes, s.cut, s.filler, b) for n, (s, b) in enumerate(zip(given, bits))],
-        ", ".join(f"{names[n]} {t}" for n, t in (("no", "int"), ("source", "string"), ("words", "long"), ("target", "double"), ("passes", "int"), ("cut", "long"), ("filler", "long"), ("bits", "int"))),
+        [(n, s.source, s.words, s.target, s.passes, s.cut, s.filler, list(s.cuts), b) for n, (s, b) in enumerate(zip(given, bits))],
+        ", ".join(f"{names[n]} {t}" for n, t in (("no", "int"), ("source", "string"), ("words", "long"), ("target", "double"), ("passes", "int"), ("cut", "long"), ("filler", "long"), ("cuts", "array<bigint>"), ("bits", "int"))),
     )
     table = _literal(spark, dealt, f"{names['of']} int, {names['at']} long, {names['deal']} array<int>")
     placed = docs.withColumn(names["order"], _order(seed))
@@ -211,9 +256,11 @@ def drawn(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataF
     block = F.expr(f"`{names['order']}` div shiftleft(1L, {ORDER_BITS} - `{names['bits']}`)")
     rows = rows.withColumn(names["block"], F.when(c["bits"] == 0, F.lit(0)).otherwise(block).cast("long"))
     rows = rows.join(table, (c["no"] == c["of"]) & (c["block"] == c["at"]), "left")
-    copies = c["passes"] + ((c["order"] <= c["cut"]) | (c["order"] == c["filler"])).cast("int")
+    size = _size(F.col("text"))
+    last = F.coalesce(F.get(c["cuts"], _level(size)), F.lit(-1))
+    copies = c["passes"] + ((c["order"] <= last) | (c["order"] == c["filler"])).cast("int")
     mix = F.struct(
-        _size(F.col("text")).alias("size"),
+        size.alias("size"),
         c["words"].alias("source_size"),
         c["target"].alias("target"),
         copies.alias("copies"),

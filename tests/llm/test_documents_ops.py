@@ -343,6 +343,17 @@ def test_mixing(spark, docs, texts):
     assert again == rows
 
 
+def test_mixing_meets_targets_beside_a_dominant_document(spark):
+    """One document holds a third of each source's words; whatever the order, the targets are met."""
+    rows = [(f"{s}-{i}", " ".join(["w"] * (20_000 if i == 0 else 100)), s) for s in map(str, range(12)) for i in range(401)]
+    frame = ready(spark).createDataFrame(rows, "doc_id string, text string, source string").repartition(4).cache()
+    for seed in (1, 2, 3):
+        given = mixing.drawn(frame, seed=seed).selectExpr("source", "mix.target", "mix.size * size(mix.shards) as taken", "mix.copies", "size(mix.shards) as dealt")
+        assert given.where("copies <> dealt").isEmpty()
+        for r in given.groupBy("source", "target").sum("taken").collect():
+            assert abs(r["sum(taken)"] - r["target"]) <= 100, (seed, tuple(r))
+
+
 def test_mix_gives_every_copy(spark, docs, edge):
     for frame in (docs, edge):
         mixed = mixing.mix(frame)
