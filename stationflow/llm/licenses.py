@@ -1,8 +1,9 @@
 """License scans: known sentences to identifiers, then identifier sequences to ordered rules.
 
-Sentences are normalised to lower-case ASCII words.  Texts are read in two ways, with line ends as
-sentence ends and with lines joined, so that both one-line notices and wrapped license texts are
-seen.  All steps are column functions on the row, without a shuffle.
+Sentences are normalised to lower-case ASCII words.  Texts are read in three ways, with line ends as
+sentence ends, with lines joined, and with the lines of each paragraph joined, so that one-line
+notices and wrapped license texts below a heading are seen.  All steps are column functions on the
+row, without a shuffle.
 """
 
 from __future__ import annotations
@@ -58,6 +59,9 @@ REPLACED = {"BSD-2-Clause": "BSD-3-Clause"}
 # Every known sentence has one of these words, so a text without any needs no further look.
 TRIGGER = "(?i)licens|permission|software|redistribution|warranty|copyright"
 SENTENCE_END = r"([.!?;:])[ \t\r\n]+"
+# A paragraph ends at lines without words; empty comment lines are such lines.
+PARAGRAPH_END = r"\n(?:[^A-Za-z0-9\n]*\n)+"
+LINE_END = r"[ \t\r]*\n[ \t\r]*"
 
 
 def normalised(sentence: Column) -> Column:
@@ -74,18 +78,22 @@ def known_sentences(text: Column) -> Column:
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document: id, known sentences line by line and with lines joined, licenses by name.
 
+    Licenses are those that hold in any reading, by paragraphs too.
     Lists are joined by commas; a null or empty text, or one without known sentences, has empty
     lists.  Repeated rows give repeated results, an empty table none.
     """
     body = F.when(F.col("text").rlike(TRIGGER), F.col("text")).otherwise("")
     rows = docs.select("doc_id", body.alias("body"))
+    joined = lambda text: F.regexp_replace(text, LINE_END, " ")
+    # The paragraph separator stands for the ends of paragraphs while lines are joined.
+    paragraphs = F.translate(joined(F.regexp_replace("body", PARAGRAPH_END, "\u2029")), "\u2029", "\n")
     rows = rows.select(
         "doc_id", F.array_join(known_sentences(F.col("body")), ",").alias("by_line"),
-        F.array_join(known_sentences(F.regexp_replace("body", r"[ \t\r]*\n[ \t\r]*", " ")), ",").alias("joined"),
+        F.array_join(known_sentences(joined(F.col("body"))), ",").alias("joined"),
+        F.array_join(known_sentences(paragraphs), ",").alias("paragraphs"),
     )
-    holds = lambda ids: F.contains(F.concat(F.lit(","), F.col("by_line"), F.lit(",")), F.lit(f",{ids},")) | F.contains(
-        F.concat(F.lit(","), F.col("joined"), F.lit(",")), F.lit(f",{ids},")
-    )
+    inside = lambda name, ids: F.contains(F.concat(F.lit(","), F.col(name), F.lit(",")), F.lit(f",{ids},"))
+    holds = lambda ids: inside("by_line", ids) | inside("joined", ids) | inside("paragraphs", ids)
     found = F.array_compact(F.array(*(F.when(holds(",".join(ids)), F.lit(name)) for name, ids in RULES)))
     for short, long in REPLACED.items():
         found = F.when(F.array_contains(found, long), F.array_remove(found, short)).otherwise(found)
@@ -100,7 +108,7 @@ def _text(value: str) -> str:
 
 
 def oracle() -> str:
-    """The same scan in DuckDB's SQL."""
+    """The scan in DuckDB's SQL, without the reading by paragraphs."""
     known = "MAP {" + ", ".join(f"{_text(words)}: {_text(name)}" for name, words in SENTENCES.items()) + "}"
     ids = lambda body: (
         f"array_to_string(list_filter(list_transform(string_split(regexp_replace({body}, '([.!?;:])[ \\t\\r\\n]+', '\\1' || chr(10), 'g'), chr(10)), "

@@ -221,6 +221,67 @@ def test_wrapped_license_text(spark):
     assert found == {1: "MIT", 2: "", 3: "CC-BY-NC-4.0"}
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
+"""
+ISC = """ISC License
+
+Copyright (c) 2020, Jane Doe
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+BSD = """Copyright (c) 2020, Jane Doe
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+ENDORSE = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE = """Copyright 2020 Jane Doe
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+"""
+
+
+def test_published_license_texts(spark):
+    def comment(text):
+        return "".join(f"# {line}".rstrip() + "\n" for line in text.split("\n"))
+
+    want = {MIT: "MIT", ISC: "ISC", BSD: "BSD-2-Clause", BSD + ENDORSE: "BSD-3-Clause", APACHE: "Apache-2.0", "No words\n\nlicense": ""}
+    texts = [(f(text), name) for text, name in want.items() for f in (str, comment, lambda t: t.replace("\n", "\r\n"))]
+    rows = ready(spark).createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    assert {r["doc_id"]: r["licenses"] for r in licenses.scan(rows).collect()} == {i: name for i, (_, name) in enumerate(texts)}
+
+
 # --- personal data -----------------------------------------------------------------------------
 
 PLAIN = {
