@@ -43,7 +43,6 @@ LEVEL = 3
 # Bytes unpacked at first, to see a record's headers, and read from the file at once.
 HEAD_BYTES = 4 << 10
 READ_BYTES = 1 << 20
-MOST_HEADER_BYTES = 1 << 20
 # Payloads from this size on are stored once.
 LEAST_SHARED_BYTES = 100
 
@@ -126,9 +125,12 @@ class _Member:
         return True
 
     def head(self) -> int:
-        """Unpack until the headers' end and return it."""
-        while (end := self.data.find(b"\r\n\r\n")) < 0:
-            if len(self.data) > MOST_HEADER_BYTES or not self.more(HEAD_BYTES):
+        """Unpack until the headers' end, which may be as far as the member's, and return it."""
+        seen = 0
+        while (end := self.data.find(b"\r\n\r\n", seen)) < 0:
+            # Unpacking as much again each time keeps long headers linear.
+            seen = max(0, len(self.data) - 3)
+            if not self.more(max(HEAD_BYTES, len(self.data))):
                 raise ValueError(f"the record at byte {self.start} has no end of headers")
         return end + 4
 

@@ -71,6 +71,17 @@ def test_members_without_stated_length(spark, folder, tmp_path):
     assert archive.where("record_id = 'urn:page:2'").count() == 1
 
 
+def test_long_urls_come_back(spark):
+    """A url longer than any read step is stored and read like others, for a response and a revisit."""
+    noise = np.random.default_rng(4).integers(97, 123, 3 << 20, dtype=np.uint8).tobytes().decode()
+    rows = [(1, "http://a/" + noise, "x" * 200), (2, "http://b/" + "y" * (5 << 20), "x" * 200), (3, "u", "z")]
+    folder = warc.write_pages(ready(spark).createDataFrame(rows, "page_id long, url string, html string"))
+    found = {r["target_uri"]: (r["record_type"], r["payload"]) for r in spark.read.format("warc").load(folder).collect()}
+    assert {u: k for u, (k, _) in found.items()} == {rows[0][1]: "response", rows[1][1]: "revisit", "u": "response"}
+    assert bytes(found[rows[0][1]][1]) == b"x" * 200
+    assert warc.read_pages(spark, folder).count() == 3
+
+
 def test_no_pages(spark, pages):
     assert warc.read_pages(spark, warc.write_pages(pages.limit(0))).count() == 0
 
