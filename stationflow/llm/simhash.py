@@ -135,10 +135,23 @@ def hexadecimal(fp: Column) -> Column:
 def keep_first(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """The documents with their group's smallest id, with all their columns.
 
-    Rows that repeat the kept id stay together, being one document; rows without an id are kept, as
-    there is no id to tell which of them to name.
+    Rows that repeat the kept id stay together, being one document.  Where one id has several texts,
+    each row goes by the group of its own text.  Rows without an id are all kept, as there is no id to
+    tell which of them to name.
     """
-    groups = near_duplicates(docs, shingle_words, max_bits)
-    dropped = fresh_name(docs, "dropped")
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(dropped)).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col(dropped), "left_anti")
+    dropped, print_, own = (fresh_name(docs, name) for name in ("dropped", "dropped_fp", "own_fp"))
+    first = F.col("doc_id") == F.col("component_id")
+    # Ids of which some row falls, and whether another row of theirs stays.
+    groups = near_duplicates(docs, shingle_words, max_bits).where("doc_id is not null")
+    ids = groups.groupBy("doc_id").agg(F.bool_or(first).alias("stays"), F.bool_or(~first).alias("falls"))
+    ids = fixed(ids.where("falls").select(F.col("doc_id").alias(dropped), "stays"), "dropped")
+    whole = docs.join(ids.select(dropped), docs["doc_id"] == F.col(dropped), "left_anti")
+    split = ids.where("stays").select(dropped)
+    if split.isEmpty():
+        return whole
+    fallen = groups.where(~first).join(split, F.col("doc_id") == F.col(dropped)).select(dropped, F.col("fp").alias(print_)).distinct()
+    # Only the texts of such ids need their fingerprints again.
+    rows = docs.join(split, docs["doc_id"] == F.col(dropped), "left_semi")
+    rows = rows.withColumn(own, fingerprint_column(F.col("text"), shingle_words))
+    rows = rows.join(fallen, (rows["doc_id"] == F.col(dropped)) & (F.col(own) == F.col(print_)), "left_anti")
+    return whole.unionByName(rows.drop(own))

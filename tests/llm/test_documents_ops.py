@@ -143,6 +143,13 @@ def test_keep_first(spark, edge):
     assert simhash.near_duplicates(edge.limit(0)).count() == 0
 
 
+def test_keep_first_goes_by_row_where_an_id_has_several_texts(spark):
+    a, b, c = (" ".join(f"{w}{n}" for n in range(80)) for w in ("ab", "cd", "ef"))
+    rows = [(1, a), (5, a), (5, b), (7, b), (7, c), (5, b), (9, a), (None, c)]
+    kept = simhash.keep_first(ready(spark).createDataFrame(rows, "doc_id long, text string"))
+    assert nulls_first(map(tuple, kept.collect())) == nulls_first([(1, a), (5, b), (5, b), (7, c), (None, c)])
+
+
 # --- quality -----------------------------------------------------------------------------------
 
 
