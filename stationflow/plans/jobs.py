@@ -30,6 +30,8 @@ LOADS = "loads"
 LOAD = "load_id"
 METRICS = "model_metrics"
 PREDICTIONS = "predictions"
+# The baseline predicts every row and not the test rows only, so its predictions have a table of their own.
+NAIVE_PREDICTIONS = "naive_predictions"
 FORECASTS = "forecasts"
 
 CONSTANT_MODELS = "constant_models"
@@ -40,8 +42,11 @@ STRATEGY_NAMES = {"lag28": "all_lags", "topk": "top_k", "pca": "pca_reduction"}
 
 
 def _state(store: TableStore):
-    """What the last committed load left: its number, and the version of the feature table it belongs to."""
-    return store.read(LOADS, version=None).first()
+    """What the last committed load left: its number, and the version of the feature table it belongs to.
+
+    None where no load was committed, such as beside a feature table that was written by hand.
+    """
+    return store.read(LOADS, version=None).first() if store.versions(LOADS) else None
 
 
 def _next_load(store: TableStore) -> int:
@@ -55,15 +60,31 @@ def _commit(store: TableStore, load: int, features_version: int) -> None:
 
 
 def features(store: TableStore) -> DataFrame:
-    """The feature rows of all committed loads."""
+    """The feature rows of all committed loads; without loads the newest feature table as it is."""
     state = _state(store)
+    if state is None:
+        return store.read(FEATURES, version=None).drop(LOAD)
     rows = store.read(FEATURES, state["features_version"])
     return rows.where(F.col(LOAD) <= state[LOAD]).drop(LOAD)
 
 
 def series_end(store: TableStore) -> DataFrame:
-    """The last rows of each series after the last committed load."""
-    return store.read(TAIL, _state(store)[LOAD])
+    """The last rows of each series after the last committed load, or of the feature table without loads."""
+    state = _state(store)
+    if state is None:
+        return last_rows(features(store).select("station_id", "hour", "rides"), DEFAULTS.n_lags).drop("rn")
+    return store.read(TAIL, state[LOAD])
+
+
+def _adopt(store: TableStore) -> None:
+    """Commit a feature table that no load wrote as the first load, so that loads can follow it.
+
+    It becomes a version of its own; the table as it was found stays.
+    """
+    load = max(_next_load(store), store.latest(FEATURES) + 1)
+    store.write(FEATURES, features(store).withColumn(LOAD, F.lit(load)), load, [LOAD])
+    store.write(TAIL, series_end(store), load)
+    _commit(store, load, load)
 
 
 def load_history(store: TableStore, trips: DataFrame) -> None:
@@ -107,6 +128,8 @@ def store_recent(store: TableStore, hourly: DataFrame, per_station: bool = False
     successor sees the same mark, has the same number and replaces what the other left.
     """
     columns = ["station_id", "hour", "rides"]
+    if _state(store) is None:
+        _adopt(store)
     state = _state(store)
     load = _next_load(store)
     tail = store.read(TAIL, state[LOAD]).select(columns)
@@ -136,7 +159,7 @@ def train_naive(store: TableStore, run_ts: datetime, registry: ModelRegistry | N
         F.lit(NAIVE_MODEL).alias("model"), "station_id", "hour",
         F.col("rides").alias("actual_rides"), F.col("predicted_rides").cast("double").alias("predicted_rides"),
     )
-    store.replace_partitions(PREDICTIONS, predicted, ["model"])
+    store.replace_partitions(NAIVE_PREDICTIONS, predicted, ["model"])
     scores = scores.select("station_id", F.lit(NAIVE_MODEL).alias("model"), "mae")
     if registry is not None:
         registry.log_runs(scores, NAIVE_MODEL, {"model": "previous row"}, run_ts)

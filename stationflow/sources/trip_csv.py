@@ -28,6 +28,8 @@ class TripScan(NamedTuple):
 # A header line is looked for in this many bytes.
 HEADER_BYTES = 64 << 10
 CHUNK_BYTES = 1 << 20
+# Fields of one line that the parser takes before it gives up on the file (8 bytes of memory each).
+MOST_FIELDS = 1 << 21
 COMPRESSED = (".gz", ".bz2")
 # Words that a data-frame reader takes for a missing value.
 NULL_WORDS = (
@@ -83,7 +85,8 @@ def file_headers(files: DataFrame) -> DataFrame:
 
 def _field_count(line: Column) -> Column:
     """Number of comma-separated fields of a CSV line, commas inside quotes not counted."""
-    return F.size(F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
+    outside = F.regexp_replace(line, r'"[^"]*+"', "")
+    return F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit(""))) + 1
 
 
 def _scan_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str]) -> DataFrame:
@@ -95,6 +98,7 @@ def _scan_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str]
         .option("columnNameOfCorruptRecord", CORRUPT)
         # Whether a row is damaged must not depend on the columns a query happens to need.
         .option("columnPruning", False)
+        .option("maxColumns", MOST_FIELDS)
         .csv(list(paths))
         .withColumn(SOURCE, F.col("_metadata.file_name"))
     )

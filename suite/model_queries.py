@@ -251,7 +251,7 @@ def _(spark, sf):
     log = ModelRegistry(spark, scratch(spark, "baseline-runs"))
     jobs.store_history(store, t.hourly(spark, sf))
     jobs.train_naive(store, datetime(2024, 2, 1), log)
-    predicted = store.read(jobs.PREDICTIONS).groupBy("station_id").agg(F.count("*").alias("predictions"))
+    predicted = store.read(jobs.NAIVE_PREDICTIONS).groupBy("station_id").agg(F.count("*").alias("predictions"))
     scores = store.read(jobs.METRICS, version=None).select("station_id", "mae")
     constant = store.read(jobs.CONSTANT_MODELS, version=None).select("station_id", "mean_rides")
     runs = log.runs().select("station_id", F.col("run_ts").cast("timestamp_ntz").alias("run_ts"))

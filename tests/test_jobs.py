@@ -146,3 +146,14 @@ def test_reports_of_an_empty_store(spark, tmp_path):
     with pytest.warns(UserWarning):
         jobs.write_reports(store, str(tmp_path / "out"), datetime(2024, 2, 1))
     assert (tmp_path / "out" / "mae_table" / "_SUCCESS").exists()
+
+
+def test_feature_table_without_loads(spark, tmp_path):
+    """A feature table that no load wrote is read as it is, and loads can follow it."""
+    store = TableStore(spark, str(tmp_path))
+    store.write(jobs.FEATURES, feature_table(hours(spark, "a", 0, 60)))
+    assert same(jobs.features(store), feature_table(hours(spark, "a", 0, 60)))
+    assert jobs.series_end(store).count() == DEFAULTS.n_lags
+    assert jobs.store_recent(store, hours(spark, "a", 50, 90))
+    assert same(jobs.features(store), feature_table(hours(spark, "a", 0, 90)))
+    assert not jobs.store_recent(store, hours(spark, "a", 0, 90))

@@ -30,3 +30,20 @@ def test_runs_without_sql(spark, sf_dir, name):
 
 def test_flagship_runs(spark):
     assert registered.entry(spark).count() > 0
+
+
+def test_rest_works_without_training_data_folders(tmp_path):
+    """The entry point offers everything else where the optional folders are gone, with the pipeline file or without."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    for pipeline in (True, False):
+        copy = tmp_path / str(pipeline)
+        shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", "tests", ".pytest_cache"))
+        if not pipeline:
+            (copy / "corpus_pipeline.py").unlink()
+        code = "import __spark_entry__ as e; n = e.queries(); assert len(n) > 80 and not any(q.startswith('op') or q == 'pipeline' for q in n); e.oracle_sql()"
+        subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, timeout=300)

@@ -170,3 +170,11 @@ def test_one_task_for_each_row(spark):
     listing = spark.createDataFrame([(f"file-{n}",) for n in range(64)], "path string")
     spread = files.one_task_each(listing, ["path"])
     assert spread.select(F.spark_partition_id()).distinct().count() >= 60
+
+
+def test_row_with_very_many_fields(spark, tmp_path):
+    """A row with a million quoted surplus fields is set aside like any other."""
+    put(tmp_path, "JC-1.csv", HEADER, f"a,{TIME},{TIME},s,e", f"long,{TIME},{TIME},s,e" + ',"x,y"' * 1_000_000, f"b,{TIME},{TIME},s,e")
+    scan = trip_csv.scan_trips(spark, f"{tmp_path}/JC-*.csv")
+    assert ids(scan.rows) == ["a", "b"]
+    assert scan.rejected_rows.select(F.length("line")).first()[0] > 6_000_000
