@@ -60,7 +60,8 @@ REPLACED = {"BSD-2-Clause": "BSD-3-Clause"}
 TRIGGER = "(?i)licens|permission|software|redistribution|warranty|copyright"
 SENTENCE_END = r"([.!?;:])[ \t\r\n]+"
 # A paragraph ends at lines without words; empty comment lines are such lines.
-PARAGRAPH_END = r"\n(?:[^A-Za-z0-9\n]*\n)+"
+# Possessive, as a group that may give back recurses once a line.
+PARAGRAPH_END = r"\n(?:[^A-Za-z0-9\n]*+\n)++"
 LINE_END = r"[ \t\r]*\n[ \t\r]*"
 
 

@@ -90,6 +90,9 @@ class WordEncoder:
         for word in words:
             if (ids := older.get(word)) is not None:
                 known[word] = ids
+            elif b"<|" in word:
+                # Added tokens are matched in the text as it is, in their own letter case only.
+                parts[word] = (word, b"")
             elif word.isascii():
                 low = word.lower()
                 core = low.rstrip(ENDINGS)

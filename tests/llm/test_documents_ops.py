@@ -525,3 +525,20 @@ def test_pipeline_stages(spark, sf_dir, docs, texts):
     want = sorted((r["doc_id"], zlib.crc32(np.array(library.encode(r["text"]), "<u4").tobytes())) for r in mixed)
     found = corpus_pipeline.run(spark, sf_dir).collect()
     assert sorted((r["doc_id"], r["ids_crc32"]) for r in found) == want
+
+
+def test_added_tokens_in_any_letter_case(spark):
+    """Only the exact spelling of an added token is that token."""
+    spellings = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|StartOfText|>", "<|STARTOFTEXT|>"]
+    rows = [f"a {s}{end} b{s}c <|{s}" for s in spellings for end in ("", ".", "!x", "|")] + spellings
+    encoder = token_files.WordEncoder(WORD_TOKENIZER)
+    found = [np.frombuffer(ids, encoder.id_type).tolist() + [1] for ids in encoder.encode([r.encode() for r in rows])]
+    assert found == library_ids(rows)
+
+
+def test_license_scan_of_very_many_blank_lines(spark):
+    """Runs of blank and empty comment lines end a paragraph whatever their length."""
+    notice = licenses.SENTENCES["mit-notice"]
+    rows = [(n, f"Heading{end * 1_000_000}{notice}\n{end * 1_000_000}") for n, end in enumerate(("\n", "\n# ", "\n *"))]
+    found = licenses.scan(ready(spark).createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r["licenses"] for r in sorted(found)] == ["MIT"] * 3
