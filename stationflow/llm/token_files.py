@@ -19,10 +19,13 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cached_property
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -43,79 +46,147 @@ FILE_BYTES = 16 << 20
 DICTIONARY_BYTES = 112 << 10
 SAMPLE_DOCS = 1_000
 SAMPLE_IDS = 4_096
-# Distinct words whose ids a task remembers in each of two generations, and words encoded by one call.
-KNOWN_WORDS = 400_000
+# Words encoded by one call, and bytes of texts whose distinct words are encoded together.
 WORDS_A_CALL = 512
-# Punctuation that is taken off a word's end; no apostrophe, which the tokenizer joins to letters.
-ENDINGS = b".,!?;:*#$%&|"
+WORK_BYTES = 16 << 20
+# A word of Latin letters, each one character in composed and in lower-case form (so without U+0130),
+# and the punctuation at its end; no apostrophe, which the tokenizer joins to letters.
+LAST_LATIN = 0x17F
+LETTERS_AND_MARKS = r"^(?P<letters>[A-Za-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{17F}]+)(?P<marks>[.,!?;:*#$%&|]*)$"
+# How the model's tokens show that a word ends with them.
+WORD_END = "</w>"
 
 MANIFEST = "part int, path string, documents long, ids long, bytes long"
 
 
-@dataclass
+@dataclass(frozen=True)
+class Runs:
+    """Id sequences laid end to end: sequence ``n`` is ``flat[ends[n] - sizes[n] : ends[n]]``."""
+
+    flat: np.ndarray
+    sizes: np.ndarray
+
+    @cached_property
+    def ends(self) -> np.ndarray:
+        return np.cumsum(self.sizes)
+
+    def take(self, which: np.ndarray) -> Runs:
+        sizes = self.sizes[which]
+        shift = (self.ends - self.sizes)[which] - (np.cumsum(sizes) - sizes)
+        return Runs(self.flat[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes)
+
+    @staticmethod
+    def of(parts: Sequence[Runs], kind: np.dtype) -> Runs:
+        return Runs(np.concatenate([np.empty(0, kind), *(p.flat for p in parts)]), np.concatenate([np.empty(0, np.int64), *(p.sizes for p in parts)]))
+
+
 class WordEncoder:
     """Encodes texts with a tokenizers file that lower-cases and never joins characters across ASCII spaces.
 
-    Each distinct word is encoded once by the library and remembered.  An ASCII word is looked up
-    without the punctuation at its end and in lower case, as the tokenizer cuts it there itself; the
-    words seen last are kept in two generations, so that common ones are not forgotten.
+    The library encodes each distinct word of a batch once.  A word of Latin letters with punctuation
+    at its end is what the tokenizer cuts it into, its letters in lower case and the punctuation, so
+    distinct letters go to the file's model directly; all other words go through the whole tokenizer.
     """
 
-    path: str
-    known: dict[bytes, bytes] = field(default_factory=dict)
-    older: dict[bytes, bytes] = field(default_factory=dict)
-
-    def __post_init__(self) -> None:
+    def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(self.path)
+        self.tokenizer = Tokenizer.from_file(path)
         self.id_type = np.dtype("<u2" if self.tokenizer.get_vocab_size() < 1 << 16 else "<u4")
-
-    def by_library(self, words: Sequence[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Words and their ids; many words go through one call and are told apart by their places."""
-        chunks = [[w.decode("utf-8", "replace") for w in words[at : at + WORDS_A_CALL]] for at in range(0, len(words), WORDS_A_CALL)]
+        # The same model, for letters that are in lower case and in the model's byte alphabet already.
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer, self.letters.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.alphabet = {n: to_bytes(chr(n))[0][0] for n in range(128, LAST_LATIN + 1)}
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
+
+    def by_library(self, words: pa.Array) -> Runs:
+        """Ids of words; many go through one call and are told apart by their places."""
+        chunks = [words[at : at + WORDS_A_CALL].to_pylist() for at in range(0, len(words), WORDS_A_CALL)]
         encoded = self.tokenizer.encode_batch([" ".join(c) for c in chunks], add_special_tokens=False)
-        width = self.id_type.itemsize
-        for n, (chunk, e) in enumerate(zip(chunks, encoded)):
+        found = []
+        for chunk, e in zip(chunks, encoded):
             starts = np.cumsum([0] + [len(w) + 1 for w in chunk])
             places = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
-            cuts = (np.searchsorted(places, starts) * width).tolist()
-            ids = np.array(e.ids, self.id_type).tobytes()
-            yield from ((w, ids[a:b]) for w, a, b in zip(words[n * WORDS_A_CALL :], cuts, cuts[1:]))
-
-    def learn(self, words: set[bytes]) -> None:
-        known, older = self.known, self.older
-        parts = {}
-        for word in words:
-            if (ids := older.get(word)) is not None:
-                known[word] = ids
-            elif b"<|" in word:
-                # Added tokens are matched in the text as it is, in their own letter case only.
-                parts[word] = (word, b"")
-            elif word.isascii():
-                low = word.lower()
-                core = low.rstrip(ENDINGS)
-                # Only after a letter or digit does the tokenizer cut before the punctuation.
-                parts[word] = (core, low[len(core) :]) if core and core[-1:].isalnum() else (low, b"")
-            else:
-                parts[word] = (word, b"")
-        pieces = {p for pair in parts.values() for p in pair if p}
-        found = {p: ids for p in pieces if (ids := known.get(p) or older.get(p)) is not None}
-        found |= self.by_library(sorted(pieces - found.keys()))
-        found[b""] = b""
-        known.update((word, found[core] + found[end]) for word, (core, end) in parts.items())
-        known.update((p, found[p]) for p in pieces)
-
-    def encode(self, texts: Sequence[bytes | None]) -> Iterator[bytes]:
-        """Little-endian ids of texts in UTF-8; new words of all of them are learnt together."""
-        words = [t.split() if t else [] for t in texts]
-        if len(self.known) > KNOWN_WORDS:
-            self.known, self.older = {}, self.known
-        if new := set().union(*words).difference(self.known):
-            self.learn(new)
-        for own in words:
-            yield b"".join(map(self.known.__getitem__, own))
+            found.append(Runs(np.array(e.ids, self.id_type), np.diff(np.searchsorted(places, starts))))
+        return Runs.of(found, self.id_type)
+
+    def by_model(self, words: pa.Array) -> Runs:
+        """Ids of words of lower-case letters; the last token of each is marked as one that ends a word."""
+        places = np.arange(0, len(words) + WORDS_A_CALL, WORDS_A_CALL).clip(max=len(words))
+        chunks = pc.binary_join(pa.ListArray.from_arrays(pa.array(places, pa.int32()), words), " ").to_pylist()
+        encoded = self.letters.encode_batch_fast([c if c.isascii() else c.translate(self.alphabet) for c in chunks], add_special_tokens=False)
+        found = []
+        for n, e in enumerate(encoded):
+            ids = np.array(e.ids, self.id_type)
+            sizes = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+            own = words[n * WORDS_A_CALL : (n + 1) * WORDS_A_CALL]
+            found.append(Runs(ids, sizes) if len(sizes) == len(own) else self.by_library(own))
+        return Runs.of(found, self.id_type)
+
+    def of_words(self, words: pa.Array) -> Runs:
+        """Ids of distinct words."""
+        cut = pc.extract_regex(words, LETTERS_AND_MARKS)
+        plain = np.asarray(cut.is_valid())
+        cut = cut.drop_null()
+        cores = pc.utf8_lower(cut.field("letters")).dictionary_encode()
+        ends = cut.field("marks").dictionary_encode()
+        # Chunks without other letters need no translation to the byte alphabet.
+        order = np.argsort(~np.asarray(pc.string_is_ascii(cores.dictionary)), kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        parts = [self.by_model(cores.dictionary.take(pa.array(order))), self.by_library(ends.dictionary), self.by_library(words.filter(pa.array(~plain)))]
+        letters, marks, others = np.cumsum([0] + [len(p.sizes) for p in parts])[:3]
+        # Every plain word is two parts and every other one a single part.
+        pairs = np.full((len(words), 2), -1)
+        pairs[plain, 0] = letters + place[cores.indices.to_numpy(zero_copy_only=False)]
+        pairs[plain, 1] = marks + ends.indices.to_numpy(zero_copy_only=False)
+        pairs[~plain, 0] = others + np.arange((~plain).sum())
+        found = Runs.of(parts, self.id_type).take(pairs[pairs >= 0])
+        first = np.cumsum(np.where(plain, 2, 1)) - 1
+        sizes = found.sizes[first] if len(first) else found.sizes
+        sizes[plain] += found.sizes[first[plain] - 1]
+        return Runs(found.flat, sizes)
+
+    def runs(self, texts: pa.Array) -> Runs:
+        """Ids of texts; a null has none."""
+        texts = utf8(texts).fill_null("")
+        own = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts))
+        words = own.flatten().dictionary_encode()
+        which = words.indices.to_numpy(zero_copy_only=False)
+        table = self.of_words(words.dictionary)
+        sizes = np.concatenate([[0], np.cumsum(table.sizes[which])])
+        places = own.offsets.to_numpy()
+        return Runs(table.take(which).flat, np.diff(sizes[places - places[0]]))
+
+    def encode(self, texts: Sequence[bytes | str | None] | pa.Array) -> Iterator[bytes]:
+        """Little-endian ids of texts."""
+        found = self.runs(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary()))
+        for a, b in pairwise([0, *found.ends.tolist()]):
+            yield found.flat[a:b].tobytes()
+
+
+def utf8(texts: pa.Array) -> pa.Array:
+    """Texts as strings; bytes that are not UTF-8 become replacement characters."""
+    try:
+        return texts.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([t if t is None else t.decode("utf-8", "replace") for t in texts.to_pylist()], pa.string())
+
+
+def in_batches(batches: Iterator[pa.RecordBatch], limit: int = WORK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of small batches in batches of about ``limit`` bytes, in order: fewer words are met anew."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= limit:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, sample_docs: int = SAMPLE_DOCS) -> bytes:
@@ -133,7 +204,7 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, sample_docs: int = SA
         encoder = WordEncoder(tokenizer_path)
         cut = SAMPLE_IDS * encoder.id_type.itemsize
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([ids[:cut] for ids in encoder.encode(batch.column(0).to_pylist())], pa.binary())], ["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([ids[:cut] for ids in encoder.encode(batch.column(0))], pa.binary())], ["ids"])
 
     sample = docs.where((key <= limit) & F.col("text").isNotNull()).select(F.col("text").cast("binary")).limit(sample_docs)
     samples = sorted(bytes(r["ids"]) for r in sample.mapInArrow(first_ids, "ids binary").collect())
@@ -188,11 +259,11 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None) -> To
         filesystem, base = filesystem_of(folder)
         name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.ids"
         sink, at, index = None, HEAD_SIZE, []
-        for batch in batches:
+        for batch in in_batches(batches):
             if sink is None and batch.num_rows:
                 sink = filesystem.open_output_stream(f"{base}/{name}")
                 sink.write(struct.pack(HEAD, MAGIC, encoder.id_type.itemsize, digest))
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                 ids += end
                 frame = pack(ids)
                 sink.write(frame)
