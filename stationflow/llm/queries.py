@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stationflow.llm import ann, langid, licenses, mixing, pieces, pii, quality, simhash, token_files, warc
+from stationflow.llm import ann, importance, langid, licenses, mixing, packing, periodic, pieces, pii, quality, simhash, token_files, warc
 from stationflow.llm.common import table, table_or_none
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -59,6 +59,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_pages(spark, warc.write_pages(table(spark, sf_dir, "pages")))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces_ = packing.pack(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+    return pieces_.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.with_planted_periods(table(spark, sf_dir, "documents"))
+    return periodic.summary(periodic.periodic_runs(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
@@ -70,9 +84,13 @@ QUERIES: dict[str, Query] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
+    "op11_packing": op11_packing,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 SQL: dict[str, str] = {
+    "op12_importance_resampling": importance.oracle(),
     "op4_license_scan": licenses.oracle(),
     "op10_warc": """
         WITH stored AS (
