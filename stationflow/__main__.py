@@ -4,8 +4,10 @@
     unpack       --archives 'zips/*.zip' --raw raw/
     load-history --raw 'raw/JC-*.csv' --store store/
     load-recent  --raw 'raw/JC-*.csv' --store store/ [--files 2]
-    train        --store store/ --models models/ [--stations a,b,c] [--trees 100]
-    infer        --store store/ --models models/ [--stations a,b,c]
+    train        --store store/ --models models/ [--stations a,b,c | --everywhere] [--trees 100]
+    infer        --store store/ --models models/ [--stations a,b,c | --everywhere]
+
+``--everywhere`` fits, or uses, models of all stations, which are one table below ``models/table``.
     reports      --store store/ --out reports/
 """
 
@@ -18,6 +20,7 @@ from pyspark.sql import SparkSession
 
 from stationflow.config import DEFAULTS
 from stationflow.models.registry import ModelRegistry
+from stationflow.models.tables import ModelTables
 from stationflow.models.trees import TreeParams
 from stationflow.plans import jobs
 from stationflow.session import prepare
@@ -47,6 +50,7 @@ def arguments() -> argparse.Namespace:
             command.add_argument("--files", type=int, default=DEFAULTS.recent_files)
         if name in ("train", "infer"):
             command.add_argument("--stations", default=",".join(DEFAULTS.stations))
+            command.add_argument("--everywhere", action="store_true")
         if name == "train":
             command.add_argument("--trees", type=int, default=TreeParams().trees)
     return parser.parse_args()
@@ -77,8 +81,15 @@ def main() -> None:
         jobs.write_reports(store, args.out, now)
     else:
         registry, stations = ModelRegistry(spark, args.models), args.stations.split(",")
+        tables = ModelTables(spark, f"{args.models}/table")
         if args.command == "train":
             jobs.train_naive(store, now, registry)
+        if args.everywhere:
+            if args.command == "train":
+                jobs.train_everywhere(store, tables, now, TreeParams(trees=args.trees))
+            else:
+                jobs.infer_everywhere(store, tables)
+        elif args.command == "train":
             jobs.train(store, registry, now, stations, TreeParams(trees=args.trees))
         else:
             jobs.infer(store, registry, stations)

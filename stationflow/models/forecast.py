@@ -36,7 +36,7 @@ def recursive_mean(seeds: DataFrame, hours: int = DEFAULTS.horizon_hours, model:
     return _spread(seeds, F.reverse(F.slice(known, 1, hours)), model)
 
 
-class _Trees:
+class Trees:
     """The boosted trees of one model as arrays indexed by tree and node."""
 
     def __init__(self, nodes: pd.DataFrame):
@@ -71,7 +71,7 @@ class _Trees:
             at = np.where(inner, child, at)
 
 
-class _Inputs:
+class ModelInputs:
     """What a model makes of the last values of a series, newest first."""
 
     def __init__(self, state: pd.Series):
@@ -106,14 +106,14 @@ def predict_by_nodes(frame: DataFrame, nodes: DataFrame, inputs: DataFrame) -> D
     def run(key: tuple, rows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or model.empty:
             return _none(PREDICTIONS)
-        x = _Inputs(rows.iloc[0]).of(rows[lags].to_numpy(np.float64))
+        x = ModelInputs(rows.iloc[0]).of(rows[lags].to_numpy(np.float64))
         return pd.DataFrame(
             {
                 "model": key[1],
                 "station_id": key[0],
                 "hour": rows["hour"],
                 "actual_rides": rows["rides"],
-                "predicted_rides": _Trees(model).predict(x),
+                "predicted_rides": Trees(model).predict(x),
             }
         )[columns]
 
@@ -144,7 +144,7 @@ def recursive_trees(
         known = np.empty(n_state + hours)
         # Newest first: position `start` holds the latest value.
         known[hours:] = state["recent"]
-        own, trees = _Inputs(state), _Trees(model)
+        own, trees = ModelInputs(state), Trees(model)
         for start in range(hours, 0, -1):
             known[start - 1] = trees.predict(own.of(known[None, start : start + n_state]))[0]
         first = pd.Timestamp(state["last_hour"]) + pd.Timedelta(hours=1)

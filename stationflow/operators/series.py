@@ -94,6 +94,29 @@ def split_train_test(series: DataFrame) -> DataFrame:
     return numbered.withColumn("is_train", F.col("rn") <= cut)
 
 
+def split_train_test_by_chunk(series: DataFrame, unit: str = "month") -> DataFrame:
+    """``split_train_test`` with each series cut into calendar chunks that run as separate window groups.
+
+    Rows are counted per station and chunk; what a row's number and the split point need from the
+    other chunks is one small row a chunk.  The result equals ``split_train_test`` exactly.
+    """
+    rows = series.withColumn("_chunk", F.date_trunc(unit, F.col("hour")).cast("timestamp_ntz"))
+    by_station = Window.partitionBy("station_id")
+    before = by_station.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = (
+        rows.groupBy("station_id", "_chunk")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(
+            "station_id", "_chunk", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
+            F.sum("_rows").over(by_station).alias("n"),
+        )
+    )
+    within = F.row_number().over(Window.partitionBy("station_id", "_chunk").orderBy("hour"))
+    numbered = rows.join(chunks, ["station_id", "_chunk"]).withColumn("rn", within + F.col("_before"))
+    cut = F.expr(f"(n * {DEFAULTS.train_parts}) div {DEFAULTS.split_parts}")
+    return numbered.withColumn("is_train", F.col("rn") <= cut).select(*series.columns, "rn", "n", "is_train")
+
+
 def training_frame(
     features: DataFrame, n_lags: int = DEFAULTS.n_lags, reuse_stored_lags: bool = False
 ) -> DataFrame:

@@ -13,7 +13,10 @@ from stationflow import schemas
 from stationflow.config import DEFAULTS, REQUIRED_TRIP_COLUMNS
 from stationflow.functions.dims import literal_dim, model_dim, station_dim
 from stationflow.models.forecast import predict_by_nodes, recursive_trees
+from stationflow.models.forest import forecast_in_step, predict_rows, packed
+from stationflow.models.histogram import fit_all, model_inputs
 from stationflow.models.registry import ModelRegistry, selected_features, split_importance, top_features
+from stationflow.models.tables import ModelTables
 from stationflow.models.trees import STRATEGIES, TreeParams, explained_variance, fit_stations, predict
 from stationflow.operators.filters import newer_than, newer_than_per_station
 from stationflow.operators.metrics import NAIVE_MODEL, mae, metrics_table, naive_baseline
@@ -209,6 +212,39 @@ def train(
     return metrics
 
 
+def fit_everywhere(
+    models: ModelTables, frame: DataFrame, strategy: str, run_ts: datetime, params: TreeParams = TreeParams()
+) -> DataFrame:
+    """Fit one strategy for every station of ``frame``, store the models with one commit, return their metrics rows.
+
+    The number of jobs does not depend on the number of stations.  The top-K strategy ranks lags by the
+    splits of the stored 28-lag models, so those come first.
+    """
+    nodes = models.nodes(["lag28"]) if strategy == "topk" else None
+    inputs = fixed(model_inputs(strategy, frame, nodes), "model-inputs")
+    nodes = fixed(fit_all(frame, inputs, params), "model-nodes")
+    own = inputs.join(packed(nodes), ["station_id", "strategy"])
+    scores = fixed(mae(predict_rows(frame.where("NOT is_train"), own)), "model-scores")
+    models.save(inputs, nodes, run_ts, run_params(strategy, params), scores)
+    kept = inputs.select("station_id", "explained_variance")
+    return metrics_table(scores.withColumn("strategy", F.lit(STRATEGY_NAMES[strategy])).join(kept, "station_id"))
+
+
+def train_everywhere(store: TableStore, models: ModelTables, run_ts: datetime, params: TreeParams = TreeParams()) -> DataFrame:
+    """Fit all strategies for all stations; models, run log and metrics are stored, the metrics rows returned."""
+    frame = fixed(current_frame(store), "training")
+    metrics = reduce(lambda a, b: a.unionByName(b), [fit_everywhere(models, frame, s, run_ts, params) for s in STRATEGIES])
+    _merge_metrics(store, metrics, run_ts)
+    return metrics
+
+
+def infer_everywhere(store: TableStore, models: ModelTables) -> None:
+    """Refresh predictions and forecasts of all stations that have models."""
+    frame, newest = fixed(current_frame(store), "training"), models.newest()
+    store.replace_partitions(PREDICTIONS, predict_rows(frame.where("NOT is_train"), newest), ["model"])
+    store.replace_partitions(FORECASTS, forecast_in_step(seed_state(frame), newest), ["model"])
+
+
 def run_params(strategy: str, params: TreeParams) -> dict[str, object]:
     """The settings of a run as the log keeps them."""
     own = {"topk": {"top_k": DEFAULTS.top_k}, "pca": {"n_components": DEFAULTS.n_components}}.get(strategy, {})
@@ -258,17 +294,25 @@ def not_forecast(frame: DataFrame, registry: ModelRegistry, strategies=STRATEGIE
 
 
 def infer(store: TableStore, registry: ModelRegistry, stations: Sequence[str] = DEFAULTS.stations) -> None:
-    """Refresh the prediction and forecast tables, replacing each model's partition.
+    """Refresh the listed stations' rows of the prediction and forecast tables.
 
     Listed stations without a forecast go into a table of their own with the reason.
     """
     frame = current_frame(store).where(F.col("station_id").isin(*stations)).persist()
-    store.replace_partitions(PREDICTIONS, current_predictions(frame, registry, stations=stations), ["model"])
-    store.replace_partitions(FORECASTS, future_forecast(frame, registry, stations=stations), ["model"])
+    _replace_stations(store, PREDICTIONS, current_predictions(frame, registry, stations=stations), schemas.PREDICTIONS, stations)
+    _replace_stations(store, FORECASTS, future_forecast(frame, registry, stations=stations), schemas.FORECASTS, stations)
     store.write(NOT_FORECAST, not_forecast(frame, registry, stations=stations), max(store.versions(NOT_FORECAST), default=0) + 1)
     frame.unpersist()
 
 
+def _replace_stations(store: TableStore, name: str, rows: DataFrame, schema, stations: Sequence[str]) -> None:
+    """Replace the listed stations' rows; those of other stations stay in their model's partition."""
+    if store.versions(name):
+        others = store.read(name).where(~F.col("station_id").isin(*stations)).select(*(f.name for f in schema.fields))
+        rows = fixed(rows.unionByName(others), name)
+    store.replace_partitions(name, rows, ["model"])
+
+
 def write_reports(store: TableStore, out: str, as_of: datetime) -> None:
     """All dashboard tables as CSV exports below ``out``; tables not there yet count as empty.
 

@@ -1,35 +1,37 @@
 """Boosted-tree models, their stored form and the recursive forecast.
 
-Models are fitted once per session and data folder, stored in a registry below the shared folder,
-and loaded from there by the queries that only use them, as inference does.
+Models of all stations are fitted once per session and data folder, stored as a table below the shared
+folder, and read from there by the queries that only use them, as inference does.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import functions as F
 
-from stationflow.config import lag_names
-from stationflow.models.forecast import recursive_trees
+from stationflow.config import DEFAULTS, lag_names
+from stationflow.models.components import lag_sums
+from stationflow.models.forest import NODE_FIELDS, forecast_in_step, packed, predict_rows
+from stationflow.models.histogram import fit_all, model_inputs
 from stationflow.models.registry import ModelRegistry, split_importance, top_features
-from stationflow.models.trees import STRATEGIES, TreeParams, predict
-from stationflow.operators.series import seed_state
+from stationflow.models.tables import ModelTables
+from stationflow.models.trees import STRATEGIES, TreeParams
+from stationflow.operators.metrics import mae
+from stationflow.operators.series import feature_table, in_order, seed_state, training_frame
 from stationflow.plans import jobs
-from stationflow.session import scratch
-from stationflow.sources.store import TableStore
+from stationflow.session import fixed, scratch
+from stationflow.sources.store import TableMissing, TableStore
 from suite import tables as t
-from suite.tables import Query, sql
+from suite.tables import LAG_LIST, Query, sql
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 PARAMS = TreeParams()
-PARALLELISM = 5
 
-_registries: dict[tuple[str, str], ModelRegistry] = {}
-_frames: dict[tuple[str, str], tuple] = {}
+_models: dict[tuple[str, str], ModelTables] = {}
+_frames: dict[tuple[str, str], object] = {}
 
 
 def query(name: str, oracle: str | None = None):
@@ -42,65 +44,72 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
-def registry(spark, sf) -> ModelRegistry:
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _registries:
-        _registries[key] = ModelRegistry(spark, scratch(spark, "models"))
-    return _registries[key]
-
-
 def frame(spark, sf):
-    """The persisted training frame and its stations."""
+    """The persisted training frame."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _frames:
-        rows = t.training(spark, sf).persist()
-        stations = [r["station_id"] for r in rows.select("station_id").distinct().orderBy("station_id").collect()]
-        _frames[key] = (rows, stations)
+        _frames[key] = t.training(spark, sf).persist()
     return _frames[key]
 
 
-def fitted(spark, sf, strategy):
-    """The models of one strategy, fitted now."""
-    rows, stations = frame(spark, sf)
-    if strategy == "topk":
-        stored(spark, sf, ["lag28"])
-    return jobs.fit_strategy(registry(spark, sf), rows, strategy, stations, PARAMS, PARALLELISM)
+def stored(spark, sf, strategies=STRATEGIES) -> ModelTables:
+    """The model table with newest models of the given strategies in it, fitted now if there are none."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _models:
+        _models[key] = ModelTables(spark, scratch(spark, "models"))
+    models = _models[key]
+    for strategy in ("lag28", *(s for s in strategies if s != "lag28")) if "topk" in strategies else strategies:
+        try:
+            known = not models.newest([strategy]).isEmpty()
+        except TableMissing:
+            known = False
+        if not known:
+            jobs.fit_everywhere(models, frame(spark, sf), strategy, datetime(2024, 2, 1), PARAMS)
+    return models
 
 
-def stored(spark, sf, strategies=STRATEGIES) -> ModelRegistry:
-    """The registry, with models of the given strategies in it."""
-    models = registry(spark, sf)
-    _, stations = frame(spark, sf)
-    for strategy in strategies:
-        if not models.versions(strategy, stations[0]):
-            fitted(spark, sf, strategy)
-    return models
+def by_joins(rows, models):
+    """Predictions by descending the node table one level a join; an independent reading of the trees."""
+    lags = F.array(*(F.col(name).cast("double") for name in lag_names()))
+    inputs = models.select("station_id", "strategy", "selected", "mean", "loadings")
+    n = DEFAULTS.n_lags
+    centred = F.zip_with("lags", "mean", lambda a, b: a - b)
+    component = lambda c: F.aggregate(F.zip_with(F.slice("loadings", c * n + 1, n), "centred", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    x = F.when(F.col("selected").isNotNull(), F.transform("selected", lambda i: F.get("lags", i))).when(
+        F.col("loadings").isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(DEFAULTS.n_components - 1)), component)
+    ).otherwise(F.col("lags"))
+    known = rows.select("station_id", "hour", "rides", lags.alias("lags")).join(inputs, "station_id").withColumn("centred", centred)
+    known = known.select("station_id", "strategy", "hour", "rides", x.alias("x"))
+    nodes = models.select("station_id", "strategy", F.expr(f"inline(arrays_zip({', '.join(NODE_FIELDS)}))"))
+    at = known.join(nodes.where("node_id = 0"), ["station_id", "strategy"])
+    for _ in range(PARAMS.depth):
+        inner = F.col("feature_index") >= 0
+        child = F.when(inner, F.when(F.get("x", F.col("feature_index")) <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))).otherwise(F.col("node_id"))
+        at = at.select("station_id", "strategy", "hour", "rides", "x", "tree_id", child.alias("node_id")).join(nodes, ["station_id", "strategy", "tree_id", "node_id"])
+    return at.groupBy(F.col("strategy").alias("model"), "station_id", "hour").agg(F.sum(F.col("value") * F.col("tree_weight")).alias("joined"))
 
 
 def scored(spark, sf, strategy):
     """The stored models of one strategy: their size, and their score computed in two ways.
 
-    One score comes from Spark's own transform of the loaded models, the other from the node table.
+    One score comes from the arrays of the stored models, the other from joins with the node table.
     """
-    rows, stations = frame(spark, sf)
-    models = stored(spark, sf, [strategy])
-    by_transform = jobs.score(rows, models.load_all(strategy, stations, PARALLELISM), strategy)
-    predicted = jobs.current_predictions(rows, models, [strategy], stations)
-    by_nodes = predicted.groupBy("station_id").agg(
-        F.count("predicted_rides").alias("test_rows"), F.avg(F.abs(F.col("actual_rides") - F.col("predicted_rides"))).alias("again")
-    )
-    trees = models.nodes([strategy], stations).groupBy("station_id").agg(F.countDistinct("tree_id").alias("trees"))
-    inputs = models.inputs([strategy], stations).select(
-        "station_id",
+    models = fixed(stored(spark, sf, [strategy]).newest([strategy]), "newest")
+    test = frame(spark, sf).where("NOT is_train")
+    predicted = predict_rows(test, models)
+    joined = by_joins(test, models).withColumnRenamed("joined", "predicted_rides").join(test.select("station_id", "hour", F.col("rides").alias("actual_rides")), ["station_id", "hour"])
+    rows = predicted.groupBy("station_id", "model").agg(F.count("predicted_rides").alias("test_rows"))
+    size = models.select(
+        "station_id", F.size(F.array_distinct("tree_id")).cast("bigint").alias("trees"),
         F.when(F.col("selected").isNotNull(), F.size(F.array_distinct("selected")))
         .when(F.col("loadings").isNotNull(), F.size("loadings") / F.size("mean"))
         .otherwise(len(lag_names())).cast("bigint").alias("inputs"),
+        F.coalesce(F.col("explained_variance").between(1, 100), F.lit(strategy != "pca")).alias("variance_in_range"),
     )
-    table = by_transform.join(by_nodes, "station_id").join(trees, "station_id").join(inputs, "station_id")
+    table = rows.join(mae(predicted), ["station_id", "model"]).join(mae(joined).withColumnRenamed("mae", "again"), ["station_id", "model"]).join(size, "station_id")
     return table.select(
-        "station_id", "model", "trees", "inputs", "test_rows", F.round(F.abs(F.col("mae") - F.col("again")), 6).alias("mae_gap"),
-        F.coalesce(F.col("explained_variance").between(0, 100), F.lit(strategy != "pca")).alias("variance_in_range"),
-    )
+        "station_id", "model", "trees", "inputs", "test_rows", F.round(F.abs(F.col("mae") - F.col("again")), 6).alias("mae_gap"), "variance_in_range"
+    )
 
 
 def scored_sql(strategy, inputs):
@@ -127,9 +136,78 @@ def _(spark, sf):
     return scored(spark, sf, "pca")
 
 
+@query(
+    "m2_first_split",
+    sql(
+        f"""SELECT station_id, feature_index, threshold FROM (
+  SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY gain DESC, feature_index, threshold) AS place FROM (
+    SELECT station_id, feature_index, (v + next_v) / 2.0::DOUBLE AS threshold, low_g * low_g / low_n + (g - low_g) * (g - low_g) / (n - low_n) AS gain FROM (
+      SELECT station_id, feature_index, v::DOUBLE AS v, lead(v) OVER o AS next_v, sum(own_g) OVER o AS low_g, sum(own_n) OVER o AS low_n,
+        sum(own_g) OVER p AS g, sum(own_n) OVER p AS n FROM (
+        SELECT station_id, CAST(substr(lag, 5) AS INTEGER) - 1 AS feature_index, v, sum(rides)::DOUBLE AS own_g, count(*)::DOUBLE AS own_n
+        FROM (SELECT station_id, rides, {LAG_LIST} FROM training WHERE is_train) UNPIVOT (v FOR lag IN ({LAG_LIST})) GROUP BY ALL)
+      WINDOW o AS (PARTITION BY station_id, feature_index ORDER BY v), p AS (PARTITION BY station_id, feature_index))
+    WHERE next_v IS NOT NULL AND low_n >= {PARAMS.min_rows} AND n - low_n >= {PARAMS.min_rows}))
+WHERE place = 1""",
+        "training",
+    ),
+)
+def _(spark, sf):
+    """The root of every station's first tree is the best of all cuts of all lags."""
+    nodes = stored(spark, sf, ["lag28"]).nodes(["lag28"])
+    return nodes.where("tree_id = 0 AND node_id = 0 AND feature_index >= 0").select("station_id", "feature_index", "threshold")
+
+
+@query(
+    "m2_beats_naive",
+    sql(
+        """SELECT DISTINCT station_id, m.model, TRUE AS better
+FROM training, (VALUES ('lag28'), ('topk'), ('pca')) AS m(model) WHERE NOT is_train""",
+        "training",
+    ),
+)
+def _(spark, sf):
+    """Where two rows of 24 have 50 rides more, every model errs less than the row before."""
+    planted = F.when((F.row_number().over(in_order()) % 24).isin(8, 17), 50).otherwise(0)
+    hourly = t.hourly(spark, sf).withColumn("planted", planted).select("station_id", "hour", (F.col("rides") + F.col("planted")).alias("rides"))
+    rows = fixed(training_frame(feature_table(hourly)), "planted")
+    nodes, scores = None, []
+    for strategy in STRATEGIES:
+        inputs = fixed(model_inputs(strategy, rows, nodes), "planted-inputs")
+        own = fixed(fit_all(rows, inputs, PARAMS), "planted-nodes")
+        nodes = own if strategy == "lag28" else nodes
+        scores.append(mae(predict_rows(rows.where("NOT is_train"), inputs.join(packed(own), ["station_id", "strategy"]))))
+    # The row before is the first lag of the frame.
+    naive = rows.where("NOT is_train").groupBy("station_id").agg(F.avg(F.abs(F.col("rides") - F.col("lag_1"))).alias("naive"))
+    both = scores[0].unionByName(scores[1]).unionByName(scores[2]).join(naive, "station_id")
+    return both.select("station_id", "model", (F.col("mae") < F.col("naive")).alias("better"))
+
+
+_LONG = f"""SELECT station_id, hour, CAST(substr(lag, 5) AS INTEGER) AS i, v
+FROM (SELECT station_id, hour, {LAG_LIST} FROM training WHERE is_train) UNPIVOT (v FOR lag IN ({LAG_LIST}))"""
+
+
+@query(
+    "m4_lag_sums",
+    sql(
+        f"""SELECT a.station_id, a.i, b.i AS j, CAST(sum(a.v * b.v) AS BIGINT) AS product, CAST(sum(a.v) AS BIGINT) AS total
+FROM ({_LONG}) a JOIN ({_LONG}) b ON a.station_id = b.station_id AND a.hour = b.hour AND a.i <= b.i GROUP BY ALL""",
+        "training",
+    ),
+)
+def _(spark, sf):
+    """The sums that the components of all stations are made of."""
+    n = DEFAULTS.n_lags
+    pairs = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(1, n + 1) for j in range(i, n + 1)))
+    sums = lag_sums(frame(spark, sf)).select("station_id", "sums", F.expr("products").alias("products"))
+    return sums.select("station_id", "sums", F.posexplode("products").alias("at", "product")).select(
+        "station_id", F.get(pairs, F.col("at"))["i"].alias("i"), F.get(pairs, F.col("at"))["j"].alias("j"), "product",
+        F.get("sums", F.get(pairs, F.col("at"))["i"] - 1).alias("total"),
+    )
+
+
 def importance(spark, sf):
-    _, stations = frame(spark, sf)
-    return split_importance(stored(spark, sf, ["lag28"]).nodes(["lag28"], stations))
+    return split_importance(stored(spark, sf, ["lag28"]).nodes(["lag28"]))
 
 
 @query(
@@ -141,8 +219,7 @@ def importance(spark, sf):
 )
 def _(spark, sf):
     """Every model has a count for all 28 lags, and the counts add up to its inner nodes."""
-    _, stations = frame(spark, sf)
-    nodes = stored(spark, sf, ["lag28"]).nodes(["lag28"], stations)
+    nodes = stored(spark, sf, ["lag28"]).nodes(["lag28"])
     inner = nodes.groupBy("station_id").agg(F.count_if(F.col("feature_index") >= 0).alias("inner"))
     summed = importance(spark, sf).groupBy("station_id").agg(F.count("*").alias("features"), F.sum("importance").alias("splits"))
     return summed.join(inner, "station_id").select("station_id", "features", (F.col("inner") - F.col("splits")).alias("unaccounted"))
@@ -201,13 +278,15 @@ FROM training WHERE NOT is_train""",
 )
 def _(spark, sf):
     """Predictions of stored and re-stored models differ by nothing, on every test row."""
-    rows, stations = frame(spark, sf)
-    first = stored(spark, sf, ["lag28"]).load_all("lag28", stations, PARALLELISM)
-    again = ModelRegistry(spark, scratch(spark, "models"))
-    again.save_all("lag28", first, PARALLELISM)
-    second = again.load_all("lag28", stations, PARALLELISM)
-    a = predict(rows, first, "lag28")
-    b = predict(rows, second, "lag28").select("station_id", "hour", F.col("predicted_rides").alias("loaded"))
+    test = frame(spark, sf).where("NOT is_train")
+    first = stored(spark, sf, ["lag28"])
+    again = ModelTables(spark, scratch(spark, "models"))
+    # An older version with other trees, which the newest one takes the place of.
+    inputs = first.newest(["lag28"]).select("station_id", "strategy", "selected", "mean", "loadings", "explained_variance")
+    again.save(inputs, first.nodes(["lag28"]).where("tree_id < 3"), datetime(2024, 2, 1), {})
+    again.save(inputs, first.nodes(["lag28"]), datetime(2024, 2, 2), {})
+    a = predict_rows(test, first.newest(["lag28"])).drop("model")
+    b = predict_rows(test, again.newest()).select("station_id", "hour", F.col("predicted_rides").alias("loaded"))
     return a.join(b, ["station_id", "hour"]).select(
         "station_id", "hour", "actual_rides", F.abs(F.col("predicted_rides") - F.col("loaded")).alias("difference")
     )
@@ -268,15 +347,12 @@ FROM training, (VALUES ('lag28'), ('topk'), ('pca')) AS m(model) WHERE NOT is_tr
     ),
 )
 def _(spark, sf):
-    """Predictions from the node table less those of Spark's transform, on every test row of every model."""
-    rows, stations = frame(spark, sf)
-    models = stored(spark, sf)
-    by_nodes = jobs.current_predictions(rows, models, stations=stations)
-    by_transform = [predict(rows, models.load_all(s, stations, PARALLELISM), s) for s in STRATEGIES]
-    other = reduce(lambda a, b: a.unionByName(b), by_transform).withColumnRenamed("predicted_rides", "transformed")
-    both = by_nodes.join(other.drop("actual_rides"), ["model", "station_id", "hour"])
+    """Predictions from the arrays of the models less those from joins with the node table, on every test row of every model."""
+    models = fixed(stored(spark, sf).newest(), "newest")
+    test = frame(spark, sf).where("NOT is_train")
+    both = predict_rows(test, models).join(by_joins(test, models), ["model", "station_id", "hour"])
     return both.select(
-        "model", "station_id", "hour", "actual_rides", F.round(F.abs(F.col("predicted_rides") - F.col("transformed")), 6).alias("difference")
+        "model", "station_id", "hour", "actual_rides", F.round(F.abs(F.col("predicted_rides") - F.col("joined")), 6).alias("difference")
     )
 
 
@@ -290,8 +366,7 @@ FROM training, (VALUES ('lag28'), ('topk'), ('pca')) AS m(model) WHERE NOT is_tr
 )
 def _(spark, sf):
     """Every test row of every station has one finite prediction of each model."""
-    rows, stations = frame(spark, sf)
-    predicted = jobs.current_predictions(rows, stored(spark, sf), stations=stations)
+    predicted = predict_rows(frame(spark, sf).where("NOT is_train"), stored(spark, sf).newest())
     finite = F.col("predicted_rides").isNotNull() & ~F.isnan("predicted_rides")
     return predicted.select("model", "station_id", "hour", "actual_rides", finite.alias("predicted"))
 
@@ -305,20 +380,15 @@ FROM training, (VALUES ('lag28'), ('topk'), ('pca')) AS m(model) GROUP BY m.mode
     ),
 )
 def _(spark, sf):
-    """The first step of every forecast equals Spark's transform of the last 28 values; all have 168 steps."""
-    rows, stations = frame(spark, sf)
-    models = stored(spark, sf)
-    forecast = jobs.future_forecast(rows, models, stations=stations)
-    first = forecast.groupBy("model", "station_id").agg(
+    """The first step of every forecast equals what joins with the node table give for the last 28 values; all have 168 steps."""
+    models = fixed(stored(spark, sf).newest(), "newest")
+    seeds = seed_state(frame(spark, sf))
+    first = forecast_in_step(seeds, models).groupBy("model", "station_id").agg(
         F.min("hour").alias("hour"), F.count("*").alias("steps"), F.min_by("predicted_rides", "hour").alias("first")
     )
-    seeds = seed_state(rows).select(
-        "station_id", F.col("last_hour").alias("hour"), F.lit(0).alias("rides"), F.lit(False).alias("is_train"),
-        *(F.get("recent", F.lit(i)).alias(name) for i, name in enumerate(lag_names())),
-    )
-    known = reduce(lambda a, b: a.unionByName(b), [predict(seeds, models.load_all(s, stations, PARALLELISM), s) for s in STRATEGIES])
-    both = first.join(known.select("model", "station_id", "predicted_rides"), ["model", "station_id"])
-    return both.select("model", "station_id", "hour", "steps", F.round(F.abs(F.col("first") - F.col("predicted_rides")), 6).alias("difference"))
+    rows = seeds.select("station_id", F.col("last_hour").alias("hour"), F.lit(0).alias("rides"), *(F.get("recent", F.lit(i)).alias(name) for i, name in enumerate(lag_names())))
+    both = first.join(by_joins(rows, models).drop("hour"), ["model", "station_id"])
+    return both.select("model", "station_id", "hour", "steps", F.round(F.abs(F.col("first") - F.col("joined")), 6).alias("difference"))
 
 
 @query(
@@ -340,10 +410,10 @@ def _(spark, sf):
     nodes = stations.select("station_id", "strategy", F.inline(F.array(*node)))
     none = F.lit(None).cast("array<double>")
     inputs = seeds.select(
-        "station_id", F.lit("turns").alias("strategy"), F.lit(1).alias("version"),
+        "station_id", F.lit("turns").alias("strategy"),
         F.lit(None).cast("array<int>").alias("selected"), none.alias("mean"), none.alias("loadings"),
     )
-    return recursive_trees(seeds, nodes, inputs)
+    return forecast_in_step(seeds, inputs.join(packed(nodes), ["station_id", "strategy"]))
 
 
 @query(
@@ -357,7 +427,6 @@ GROUP BY m.model, station_id, s HAVING count(*) >= 28""",
 )
 def _(spark, sf):
     """The forecast has one finite value per model, station and hour of the next seven days."""
-    rows, stations = frame(spark, sf)
-    forecast = jobs.future_forecast(rows, stored(spark, sf), stations=stations)
+    forecast = forecast_in_step(seed_state(frame(spark, sf)), stored(spark, sf).newest())
     finite = F.col("predicted_rides").isNotNull() & ~F.isnan("predicted_rides")
     return forecast.select("model", "station_id", "hour", finite.alias("predicted"))
