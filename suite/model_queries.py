@@ -167,8 +167,8 @@ FROM training, (VALUES ('lag28'), ('topk'), ('pca')) AS m(model) WHERE NOT is_tr
     ),
 )
 def _(spark, sf):
-    """Where two rows of 24 have 50 rides more, every model errs less than the row before."""
-    planted = F.when((F.row_number().over(in_order()) % 24).isin(8, 17), 50).otherwise(0)
+    """Where every third row has 50 rides more, every model errs less than half as much as the row before."""
+    planted = F.when(F.row_number().over(in_order()) % 3 == 0, 50).otherwise(0)
     hourly = t.hourly(spark, sf).withColumn("planted", planted).select("station_id", "hour", (F.col("rides") + F.col("planted")).alias("rides"))
     rows = fixed(training_frame(feature_table(hourly)), "planted")
     nodes, scores = None, []
@@ -180,7 +180,7 @@ def _(spark, sf):
     # The row before is the first lag of the frame.
     naive = rows.where("NOT is_train").groupBy("station_id").agg(F.avg(F.abs(F.col("rides") - F.col("lag_1"))).alias("naive"))
     both = scores[0].unionByName(scores[1]).unionByName(scores[2]).join(naive, "station_id")
-    return both.select("station_id", "model", (F.col("mae") < F.col("naive")).alias("better"))
+    return both.select("station_id", "model", (F.col("mae") < 0.5 * F.col("naive")).alias("better"))
 
 
 _LONG = f"""SELECT station_id, hour, CAST(substr(lag, 5) AS INTEGER) AS i, v
