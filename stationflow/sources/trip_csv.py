@@ -49,6 +49,11 @@ def _header(path: str) -> list[str]:
         first = raw.read(HEADER_BYTES)
         while packed and raw.read(CHUNK_BYTES):
             pass
+    return parse_header(first)
+
+
+def parse_header(first: bytes) -> list[str]:
+    """The column names in a file's first bytes; ValueError says why they cannot be used."""
     if b"\n" not in first and len(first) == HEADER_BYTES:
         raise ValueError(f"no line end in the first {HEADER_BYTES} bytes")
     text = first.decode("utf-8-sig", errors="replace")

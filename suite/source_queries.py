@@ -14,7 +14,7 @@ from stationflow.operators.series import feature_table
 from stationflow.plans import jobs
 from stationflow.schemas import HOURLY_RIDES
 from stationflow.session import scratch
-from stationflow.sources import archives, calendar, trip_csv
+from stationflow.sources import archives, calendar, one_pass, trip_csv
 from stationflow.sources.store import TableStore
 from suite import tables as t
 from suite.tables import SPLIT, Query, sql
@@ -149,6 +149,18 @@ def _(spark, sf):
     return trip_csv.scan_newest_trips(spark, f"{folder}/JC-*.csv/*.csv", 1).rows.select(RAW_COLUMNS)
 
 
+@query("s1_scan_once", sql(f"SELECT {_RAW} FROM raw", "raw"))
+def _(spark, sf):
+    """The same files in one pass, cut into ranges of 10,000 bytes."""
+    folder = scratch(spark, "csv")
+    raw = t.raw_trips(spark, sf)
+    classic = raw.where(F.col("ended_at").isNotNull())
+    trip_csv.export_csv(classic.coalesce(1), f"{folder}/JC-1.csv")
+    extra = raw.where(F.col("ended_at").isNull()).withColumn("member_casual", F.lit("member"))
+    trip_csv.export_csv(extra.select("member_casual", *reversed(RAW_COLUMNS)), f"{folder}/JC-2.csv")
+    return one_pass.scan_once(spark, f"{folder}/JC-*.csv", range_bytes=10_000).rows.select(RAW_COLUMNS)
+
+
 def _faulty_folder(spark, sf) -> str:
     """The trips as CSV files, beside files that cannot be used and rows that cannot."""
     import gzip
@@ -225,6 +237,35 @@ def _(spark, sf):
     return _faulty_scan(spark, sf).rejected_rows.select("line", "reason")
 
 
+def _faulty_once(spark, sf):
+    folder = _faulty_folder(spark, sf)
+    return one_pass.scan_once(spark, [f"{folder}/good.csv/*.csv", f"{folder}/JC-*.csv*"])
+
+
+@query("s7_once_rows", sql(f"SELECT {_RAW} FROM raw WHERE ended_at IS NOT NULL", "raw"))
+def _(spark, sf):
+    """One pass over good and faulty files gives the rows of the good ones."""
+    return _faulty_once(spark, sf).rows.select(RAW_COLUMNS)
+
+
+@query(
+    "s7_once_rejects",
+    sql(
+        """SELECT 'row' AS kind, concat_ws(',', ride_id, started_at, coalesce(ended_at, ''), coalesce(start_station_id, ''),
+  coalesce(end_station_id, ''), 'x') AS name, 'too many fields' AS reason FROM raw WHERE ended_at IS NULL
+UNION ALL SELECT 'file', file, reason FROM (VALUES ('JC-junk.csv', 'no line end in the first 65536 bytes'), ('JC-twice.csv', 'repeated column name'),
+  ('JC-unnamed.csv', 'empty column name'), ('JC-cut.csv.gz', 'unreadable: OSError'),
+  ('JC-short.csv', 'missing column ended_at, start_station_id, end_station_id')) AS v(file, reason)""",
+        "raw",
+    ),
+)
+def _(spark, sf):
+    """Damaged rows and unusable files of the same pass."""
+    scan = _faulty_once(spark, sf)
+    files = scan.rejected_files.select(F.lit("file").alias("kind"), F.element_at(F.split("path", "/"), -1).alias("name"), "reason")
+    return scan.rejected_rows.select(F.lit("row").alias("kind"), F.col("line").alias("name"), "reason").unionByName(files)
+
+
 @query("s10_roundtrip", sql("SELECT station_id, hour, rides FROM hourly_user", "hourly_user"))
 def _(spark, sf):
     path = scratch(spark, "export") + ".csv"

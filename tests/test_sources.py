@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stationflow.operators.trips import clean_trips
 from stationflow.schemas import HOURLY_RIDES
-from stationflow.sources import archives, calendar, files, trip_csv
+from stationflow.sources import archives, calendar, files, one_pass, trip_csv
 
 HEADER = "ride_id,started_at,ended_at,start_station_id,end_station_id"
 TIME = "2024-01-01 10:00:00"
@@ -178,3 +178,33 @@ def test_row_with_very_many_fields(spark, tmp_path):
     scan = trip_csv.scan_trips(spark, f"{tmp_path}/JC-*.csv")
     assert ids(scan.rows) == ["a", "b"]
     assert scan.rejected_rows.select(F.length("line")).first()[0] > 6_000_000
+
+
+def test_one_pass_equals_the_scan(spark, tmp_path):
+    """Differing headers, short, long and unbalanced rows, quoted commas, compressed files, in ranges of a few bytes."""
+    import gzip
+
+    good = [f"id{n},{TIME},{TIME},s{n},e" for n in range(50)]
+    put(tmp_path, "JC-1.csv", HEADER, *good)
+    put(tmp_path, "JC-2.csv", "extra," + HEADER, f'"x, y",b,{TIME},{TIME},s,e', f",c,{TIME}", f"1,d,{TIME},{TIME},s,e,f", "", f"2,NA,{TIME},{TIME},null,e")
+    put(tmp_path, "JC-3.csv", "ride_id,started_at", "x,1")
+    (tmp_path / "JC-4.csv").write_bytes(f"{HEADER}\ne1,{TIME},{TIME},s\xe9,e\ne2,{TIME},{TIME},s,e".encode("latin-1"))
+    (tmp_path / "JC-5.csv.gz").write_bytes(gzip.compress(("\n".join([HEADER, *(f"z{n},{TIME},{TIME},s,e" for n in range(9_000))]) + "\n").encode()))
+    (tmp_path / "JC-6.csv.gz").write_bytes((tmp_path / "JC-5.csv.gz").read_bytes()[:-30])
+    columns = ["ride_id", "started_at", "ended_at", "start_station_id", "end_station_id", "extra", "source_file"]
+    want = trip_csv.scan_trips(spark, f"{tmp_path}/JC-*.csv*")
+    for size in (7, 100, 1 << 20):
+        got = one_pass.scan_once(spark, f"{tmp_path}/JC-*.csv*", range_bytes=size)
+        for a, b in ((got.rows.select(columns), want.rows.select(columns)), (got.rejected_rows.select("line", "reason"), want.rejected_rows.select("line", "reason")), (got.rejected_files, want.rejected_files)):
+            a, b = (sorted(tuple(map(str, r)) for r in df.collect()) for df in (a, b))
+            assert [x for x in a if x not in b] == [] and a == b
+
+
+def test_one_pass_reads_files_once(spark, tmp_path):
+    """What the pass found stays when the files are gone; a row of very many fields is set aside."""
+    put(tmp_path, "JC-1.csv", HEADER, f"a,{TIME},{TIME},s,e", f"long,{TIME},{TIME},s,e" + ',"x,y"' * 1_000_000, f'open,"{TIME},{TIME},s,e', f"b,{TIME},{TIME},s,e")
+    scan = one_pass.scan_once(spark, f"{tmp_path}/JC-*.csv")
+    (tmp_path / "JC-1.csv").rename(tmp_path / "gone")
+    assert ids(scan.rows) == ["a", "b", "open"]
+    assert scan.rejected_rows.select(F.length("line")).first()[0] > 6_000_000
+    assert one_pass.scan_once(spark, f"{tmp_path}/gone", required=["none"]).rejected_files.first()["reason"] == "missing column none"
