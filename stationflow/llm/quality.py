@@ -114,7 +114,7 @@ class Verdict:
 
 
 def learn(docs: DataFrame, labels: DataFrame | None, fit_rows: int = FIT_ROWS) -> Verdict | None:
-    """Fit the trees on at most ``fit_rows`` labelled documents, those of the smallest id hashes.
+    """Fit the trees on at most ``fit_rows`` labelled documents, those of the smallest id hashes, a row an id.
 
     Three quarters of the sample fit the trees, the rest sets the threshold: the largest one, up to
     a half, that rejects at most ``MAX_GOOD_REJECTED`` of the good ones.  Labels that are null or
@@ -127,12 +127,14 @@ def learn(docs: DataFrame, labels: DataFrame | None, fit_rows: int = FIT_ROWS) -
         usable.groupBy("doc_id").agg(F.min("quality").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     )
+    # An id with several rows teaches by one of them, so that no more rows come than labels were chosen.
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("quality").alias("quality"))
         .select("doc_id", feature_column(F.col("text")).alias("x"), "quality")
         .collect()
-    )
+    )
     rows.sort(key=lambda r: (r["doc_id"], r["x"]))
     x = np.array([r["x"] for r in rows], dtype=np.float64).reshape(-1, len(FEATURES))
     y = np.array([r["quality"] for r in rows], dtype=np.float64)
