@@ -24,6 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stationflow.llm.importance import crc_table
 from stationflow.llm.token_files import in_batches, utf8
 
 LEAST_LENGTH = 6
@@ -236,3 +237,51 @@ def summary(found: DataFrame) -> DataFrame:
         F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+def oracle() -> str:
+    """The whole query in DuckDB's SQL: equal 5-grams of a text by lag, stretches of them, and those no shorter period explains."""
+    table = ", ".join(map(str, crc_table().tolist()))
+    digits = "list_transform(range(0, strlen(doc_id::VARCHAR)), lambda i: ascii(substr(doc_id::VARCHAR, i + 1, 1))::UINTEGER)"
+    return f"""
+        WITH cut AS (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
+                   xor(list_reduce([4294967295::UINTEGER] || {digits}, lambda c, b: xor(c >> 8, ([{table}]::UINTEGER[])[(xor(c, b) & 255::UINTEGER) + 1])), 4294967295::UINTEGER)::BIGINT AS h
+            FROM documents
+        ), sized AS (
+            SELECT *, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM cut
+        ), planned AS (
+            SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM sized
+        ), texts AS (
+            SELECT row, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+                THEN list_transform(range(0, n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE w END AS w FROM planned
+        ), words AS (
+            SELECT row, n, unnest(w) AS word, unnest(range(0, n)) AS i FROM texts
+        ), grams AS (
+            SELECT row, n, i, hash(word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) AS k,
+                   concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) AS gram
+            FROM words WINDOW o AS (PARTITION BY row ORDER BY i)
+        ), pairs AS (
+            SELECT x.row, x.i, y.i - x.i AS q FROM grams x JOIN grams y
+              ON x.row = y.row AND x.k = y.k AND x.gram = y.gram AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+            WHERE x.i <= x.n - 5 AND y.i <= y.n - 5
+        ), stretches AS (
+            SELECT row, q, min(i) AS start, count(*) + 4 + q AS length
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS island FROM pairs) GROUP BY row, q, island
+        ), able AS (
+            SELECT * FROM stretches WHERE length >= {LEAST_LENGTH} AND length >= {LEAST_PERIODS} * q
+        ), runs AS (
+            SELECT * FROM able r WHERE NOT EXISTS (
+                SELECT 1 FROM able s WHERE s.row = r.row AND s.q < r.q AND s.start <= r.start AND s.start + s.length >= r.start + r.length)
+        ), gone AS (
+            SELECT DISTINCT row, unnest(range(start + q, start + length)) AS i FROM runs
+        ), kept AS (
+            SELECT row, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (row, i) GROUP BY row
+        ), summed AS (
+            SELECT row, count(*) AS n_runs, arg_min({{'s': start, 'l': length, 'q': q}}, [-length, start, q]) AS top,
+                   string_agg(concat(start, ',', length, ',', q, chr(10)), '' ORDER BY start, q) AS lines FROM runs GROUP BY row
+        )
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top.s::BIGINT AS start, top.l::BIGINT AS length, top.q::BIGINT AS period,
+               (1000 * top.l // top.q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+        FROM texts LEFT JOIN summed USING (row) LEFT JOIN kept USING (row)
+    """

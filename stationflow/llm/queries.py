@@ -91,6 +91,7 @@ QUERIES: dict[str, Query] = {
 
 SQL: dict[str, str] = {
     "op12_importance_resampling": importance.oracle(),
+    "op13_periodic_runs": periodic.oracle(),
     "op4_license_scan": licenses.oracle(),
     "op10_warc": """
         WITH stored AS (
