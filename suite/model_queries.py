@@ -21,7 +21,7 @@ from stationflow.operators.metrics import mae
 from stationflow.operators.series import feature_table, in_order, seed_state, training_frame
 from stationflow.plans import jobs
 from stationflow.session import fixed, scratch
-from stationflow.sources.store import TableMissing, TableStore
+from stationflow.sources.store import TableStore
 from suite import tables as t
 from suite.tables import LAG_LIST, Query, sql
 
@@ -31,6 +31,7 @@ SQL: dict[str, str] = {}
 PARAMS = TreeParams()
 
 _models: dict[tuple[str, str], ModelTables] = {}
+_fitted: set[tuple[str, str, str]] = set()
 _frames: dict[tuple[str, str], object] = {}
 
 
@@ -59,12 +60,9 @@ def stored(spark, sf, strategies=STRATEGIES) -> ModelTables:
         _models[key] = ModelTables(spark, scratch(spark, "models"))
     models = _models[key]
     for strategy in ("lag28", *(s for s in strategies if s != "lag28")) if "topk" in strategies else strategies:
-        try:
-            known = not models.newest([strategy]).isEmpty()
-        except TableMissing:
-            known = False
-        if not known:
+        if (*key, strategy) not in _fitted:
             jobs.fit_everywhere(models, frame(spark, sf), strategy, datetime(2024, 2, 1), PARAMS)
+            _fitted.add((*key, strategy))
     return models
 
 
