@@ -542,3 +542,154 @@ def test_license_scan_of_very_many_blank_lines(spark):
     rows = [(n, f"Heading{end * 1_000_000}{notice}\n{end * 1_000_000}") for n, end in enumerate(("\n", "\n# ", "\n *"))]
     found = licenses.scan(ready(spark).createDataFrame(rows, "doc_id long, text string")).collect()
     assert [r["licenses"] for r in sorted(found)] == ["MIT"] * 3
+
+
+def test_languages_equal_a_plain_bayes(spark, docs, edge):
+    """Naive Bayes over dicts, with the grams hashed one by one."""
+    mask = (1 << 64) - 1
+
+    def buckets(text):
+        letters = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+        points = [ord(c) for c in f" {' '.join(letters)} "] if letters else []
+        found = []
+        for n in (1, 2, 3):
+            for at in range(len(points) - n + 1):
+                h = langid.LENGTHS[n - 1]
+                for place in range(n):
+                    h = ((h ^ (points[at + place] * langid.PLACES[place] & mask)) * langid.LENGTHS[0]) & mask
+                found.append(h >> 49)
+        return found
+
+    rows = [(r["text"][:400], r["lang"]) for r in docs.collect() if r["text"] and r["lang"]][:150]
+    grams, documents = {}, {}
+    for text, lang in rows:
+        if own := buckets(text):
+            documents[lang] = documents.get(lang, 0) + 1
+            counts = grams.setdefault(lang, {})
+            for b in own:
+                counts[b] = counts.get(b, 0) + 1
+    asked = [r[0] for r in rows[:60]] + EDGE
+    model = langid.learn(ready(spark).createDataFrame(rows, "text string, lang string").repartition(3))
+    found = langid.identify(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), model).collect()
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in found}
+    for n, text in enumerate(asked):
+        own = buckets(text)
+        if not own:
+            assert got[n] == ("und", 0.0)
+            continue
+        score = {}
+        for lang, counts in grams.items():
+            total = sum(counts.values()) + langid.SMOOTHING * langid.BUCKETS
+            score[lang] = np.log(documents[lang] / sum(documents.values())) + sum(np.log((counts.get(b, 0) + langid.SMOOTHING) / total) for b in own)
+        top = max(score.values())
+        assert score[got[n][0]] > top - 1e-6
+        assert got[n][1] == pytest.approx(1 / sum(np.exp(s - top) for s in score.values()), abs=1e-6)
+
+
+def test_languages_learned_are_bounded(spark, docs):
+    rows = ready(spark).createDataFrame([(f"word number {n} of text", f"l{n % 40:02d}") for n in range(200)] + [("wort", "de")] * 9, "text string, lang string")
+    assert langid.learn(rows, 5).languages == ("de", "l00", "l01", "l02", "l03")
+
+
+NOTICES = {
+    "This project is licensed under the MIT License - see the LICENSE file for details.": "MIT",
+    "Released under the MIT License (see LICENSE).": "MIT",
+    "// SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+    "# SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0",
+    "The code in this repository is available under the terms of the GNU General Public License v3.0 or later.": "GPL-3.0",
+    "All files are distributed under the GNU LGPL, version 2.1.": "LGPL-2.1",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+    "Published under CC BY-ND 3.0.": "CC-BY-ND-3.0",
+    "This Font Software is licensed under the SIL Open Font License, Version 1.1.": "OFL-1.1",
+    "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+    "Licensed under the 3-Clause BSD License.": "BSD-3-Clause",
+    "This software is licenced under the ISC licence.": "ISC",
+    "This is free and unencumbered software released into the public domain.": "Unlicense",
+    "We are not licensed under the sun.": "",
+    "The MIT License is a short license.": "",
+    "the road is available under the bridge": "",
+}
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+"""
+GPL2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+"""
+
+
+def test_license_notices_equal_their_sql(spark, tmp_path):
+    """Notices in many wordings, alone and within a text, in both languages."""
+    import duckdb
+
+    texts = [*NOTICES, *(f"Some prose before.\n{t}\nMore of it." for t in NOTICES), MPL, LGPL, GPL2, MIT, f"Head\n\n{BSD}\n{ENDORSE}", MPL.replace("\n", "\r\n"), None, ""]
+    want = [*NOTICES.values(), *NOTICES.values(), "MPL-2.0", "LGPL-2.1", "GPL-2.0", "MIT", "BSD-3-Clause", "MPL-2.0", "", ""]
+    frame = ready(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r) for r in licenses.scan(frame).collect()}
+    assert [got[n][3] for n in range(len(texts))] == want
+    frame.write.parquet(str(tmp_path / "documents"))
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    assert {r[0]: r for r in db.sql(licenses.oracle()).fetchall()} == got
+
+
+def test_components_of_a_path_in_hostile_order(spark, monkeypatch):
+    """A path of 4,096 nodes takes rounds that grow with the logarithm of its length."""
+    from stationflow.llm import components
+
+    written, fixed = [], components.fixed
+    monkeypatch.setattr(components, "fixed", lambda df, label: written.append(label) or fixed(df, label))
+    half = 1024
+    # Two slopes that meet: the smaller end would have to crawl up the other one's slope.
+    order = [*range(half, 0, -1), 0, *range(2 * half, half, -1), *range(2 * half + 1, 4 * half)]
+    frame = ready(spark).createDataFrame(list(zip(order, order[1:])), "a long, b long").repartition(2)
+    found = components.connected_components(frame).collect()
+    assert len(found) == len(order) and {r["label"] for r in found} == {0}
+    assert len(written) < 60
+
+
+def test_fits_are_bounded(spark):
+    """Many rows of one id teach no more than one."""
+    text = "Call +1 (768) 555-9731 or write to someone@example.org, order 1234-5678-90 of 2024-01-05. " * 3
+    rows = [(1, f"{text} {n}", 1) for n in range(500)] + [(n, text, n % 2) for n in range(2, 30)]
+    frame = ready(spark).createDataFrame(rows, "doc_id long, text string, quality int")
+    seen = []
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    collect = DataFrame.collect
+    try:
+        DataFrame.collect = lambda self: (lambda out: seen.append(len(out)) or out)(collect(self))
+        quality.learn(frame, frame.select("doc_id", "quality"))
+        few = list(seen)
+        seen.clear()
+        pii.learn(frame)
+    finally:
+        DataFrame.collect = collect
+    assert max(few) <= 29
+    one = pii._taught(pii._base(frame.where("doc_id = 2").selectExpr("1L as key", "text as body"))).count()
+    assert max(seen) <= 29 * one
+
+
+def test_personal_data_in_long_texts(spark):
+    """Four megabytes of numbers and addresses in one text take less than a minute."""
+    import time
+
+    line = "Call +1 (768) 555-9731, mail a.b@c.org, host 10.1.2.3 or card 4111 1111 1111 1111; 12 34 56 78 90 11 22 33. "
+    rows = [(1, line * (4_000_000 // len(line)))]
+    frame = ready(spark).createDataFrame(rows, "doc_id long, text string")
+    begun = time.time()
+    found = pii.find(frame, None).first()
+    assert found["n_phone"] == found["n_email"] == found["n_ip"] == found["n_card"] == 4_000_000 // len(line)
+    assert time.time() - begun < 60
+    few = pii.find(spark.createDataFrame([(1, line * 700)], "doc_id long, text string"), None).first()
+    places = [(int(a), int(b), k) for k, a, b in (s.split(":") for s in few["spans"].split(","))]
+    assert places == sorted(places) and all((line * 700)[a:b].strip() == (line * 700)[a:b] for a, b, _ in places)
+    clean = pii.redact(spark.createDataFrame([(1, line * 700)], "doc_id long, text string"), None).first()["text"]
+    assert clean == (line * 700).replace("+1 (768) 555-9731", "[PHONE]").replace("a.b@c.org", "[EMAIL]").replace("10.1.2.3", "[IP]").replace("4111 1111 1111 1111", "[CARD]")
