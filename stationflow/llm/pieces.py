@@ -7,25 +7,31 @@ to the piece table, the matches are grouped by unit as lattice edges, and a high
 folded by its merge order, since its scores are ranks and the best sum of ranks is not what the
 model's own merges give; both folds run over the same lattice.
 
-Encodings go back to the documents without moving texts: the most frequent units, a bounded number,
-travel with the tasks, the rest are joined by unit and spliced into the documents' compressed ids.
+Encodings go back to the documents without moving texts or ids: the most frequent units, a bounded
+number, travel with the tasks that cut the texts, each of which writes the ids of its documents into a
+file, with gaps for other units.  Those, once a file, are joined by unit and come back to their file.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stationflow.llm.common import fixed, fresh_name, input_bytes
+from stationflow.llm.token_files import Runs, in_batches, utf8
+from stationflow.session import scratch
+from stationflow.sources.files import filesystem_of, open_uri
 
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
@@ -34,11 +40,14 @@ NORMAL, BYTE, USER_DEFINED = 1, 6, 4
 LONGEST_UNIT = 61
 PLACES = 64
 UNKNOWN_PENALTY = 10.0
-# Units shipped with the tasks that look them up; they have at most HEAD_CHARS characters.
+# Units shipped with the tasks that look them up; they have at most LONGEST_UNIT characters.
 HEAD_UNITS = 400_000
-HEAD_CHARS = 48
-# Distinct units a task counts before it passes its counts on.
-COUNTED_UNITS = 400_000
+# Signs put between units while texts are cut; one that no text of a batch holds is taken.
+SEPARATORS = "\x1e\x1f\x1d\x1c\x01\x02\x03"
+# Bytes of texts cut together, whose distinct units are counted or looked up once.
+WORK_BYTES = 8 << 20
+# Sequences put together by one call, which needs some 24 bytes an element beside the result.
+TAKEN = 1 << 17
 # Input bytes whose units one task encodes, and the most tasks.
 TASK_BYTES = 4 << 20
 MOST_TASKS = 1 << 16
@@ -151,6 +160,26 @@ class Model:
             text = text.replace(SPACE, " ")
         return self.unit_pattern.findall(" " + text if text and self.dummy_prefix else text)
 
+    def units_of(self, texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The units of all texts one after the other, and how many each text has; a null has none."""
+        texts = utf8(texts).fill_null("")
+        sign = next((s for s in SEPARATORS if not pc.any(pc.match_substring(texts, s)).as_py()), None)
+        if sign is None:
+            own = [self.units(t) for t in texts.to_pylist()]
+            return pa.array([u for us in own for u in us], pa.string()).dictionary_encode(), np.array([len(us) for us in own], np.int64)
+        texts = pc.replace_substring(texts, SPACE, " ")
+        if self.dummy_prefix:
+            texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
+        ends = "" if any("\n" in p for p in self.ids) else "\n"
+        # A unit starts with the spaces before a word; a line end is one of its own.
+        texts = pc.replace_substring_regex(texts, f"([^ {ends}]) ", f"\\1{sign} ")
+        if ends:
+            texts = pc.replace_substring(texts, ends, sign + ends + sign)
+        cut = pc.split_pattern(texts, sign)
+        flat, whose = cut.flatten(), np.asarray(pc.list_parent_indices(cut))
+        real = pc.not_equal(flat, "")
+        return flat.filter(real).dictionary_encode(), np.bincount(whose[np.asarray(real)], minlength=len(texts)).astype(np.int64)
+
     def segment_ids(self, unit: str, cuts: int) -> list[int]:
         """Ids of a unit cut at the set bits; characters outside the table become bytes or unknown."""
         found, at, unit = [], 0, unit.replace(" ", SPACE)
@@ -178,24 +207,37 @@ class Model:
 
         return [own(p, t) for p, t in zip(self.pieces, self.types)]
 
+    @cached_property
+    def piece_runs(self) -> Runs:
+        """The same as one array of bytes."""
+        parts = self.piece_bytes
+        return Runs(np.frombuffer(b"".join(parts), np.uint8), np.array([len(p) for p in parts], np.int64))
+
     def decoded(self, ids: np.ndarray) -> bytes:
         """The text of an id sequence in UTF-8, without the space that encoding put in front."""
-        text = b"".join(map(self.piece_bytes.__getitem__, ids.tolist()))
+        text = taken(self.piece_runs, ids).flat.tobytes()
         return text[1:] if self.dummy_prefix and text.startswith(b" ") else text
 
 
+def taken(runs: Runs, which: np.ndarray) -> Runs:
+    """``runs.take(which)`` with little memory beside the result."""
+    sizes = runs.sizes[which]
+    flat, at = np.empty(int(sizes.sum()), runs.flat.dtype), 0
+    for first in range(0, len(which), TAKEN):
+        own = runs.take(which[first : first + TAKEN]).flat
+        flat[at : at + len(own)] = own
+        at += len(own)
+    return Runs(flat, sizes)
+
+
 def count_units(docs: DataFrame, model: Model) -> DataFrame:
     """``unit, n`` for every distinct unit of all texts, counted in the tasks before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found.update(model.units(text))
-                if len(found) > COUNTED_UNITS:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array(list(found.values()), pa.int64())], ["unit", "n"])
-                    found.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["unit", "n"])
+        for batch in in_batches(batches, WORK_BYTES):
+            units, _ = model.units_of(batch.column(0))
+            counts = np.bincount(units.indices.to_numpy(zero_copy_only=False), minlength=len(units.dictionary))
+            yield pa.RecordBatch.from_arrays([units.dictionary, pa.array(counts, pa.int64())], ["unit", "n"])
 
     texts = docs.where(F.col("text").isNotNull()).select("text")
     tasks = min(MOST_TASKS, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), input_bytes(docs) // TASK_BYTES))
@@ -322,8 +364,132 @@ def encode_units(units: DataFrame, model: Model) -> DataFrame:
     return cut.mapInArrow(to_ids, "unit string, n long, ids binary")
 
 
-def _lookup(head: pa.Table) -> dict[str, bytes]:
-    return dict(zip(head.column("unit").to_pylist(), head.column("ids").to_pylist()))
+def unit_table(docs: DataFrame, model: Model) -> DataFrame:
+    """``unit, n, ids`` of all distinct units, written."""
+    conf = docs.sparkSession.conf
+    before = conf.get(GROUPING)
+    conf.set(GROUPING, "false")
+    try:
+        table = fixed(encode_units(count_units(docs, model), model), "units")
+    finally:
+        conf.set(GROUPING, before)
+    return table
+
+
+# A file's number and a unit's number in it as one key; the last number stands for the file itself.
+KEY_BITS = 32
+PATH = (1 << KEY_BITS) - 1
+# Unit numbers are written byte by byte, the common ones having the smallest, which packs them well.
+PLANES = 4
+
+
+def _planes(numbers: np.ndarray) -> list[bytes]:
+    return [(numbers >> (8 * n) & 255).astype(np.uint8).tobytes() for n in range(PLANES)]
+
+
+def _numbers(planes: list[pa.Scalar]) -> np.ndarray:
+    total = np.zeros(len(planes[0].as_buffer()), np.int32)
+    for n, plane in enumerate(planes):
+        total |= np.frombuffer(plane.as_buffer(), np.uint8).astype(np.int32) << (8 * n)
+    return total
+
+
+def write_files(docs: DataFrame, model: Model, head: pa.Table, folder: str) -> DataFrame:
+    """Write the units of all documents into a file a task: ids of those in ``head``, numbers for the others.
+
+    Returns ``key, unit``: per file its path, and its units outside ``head``, each once by its number in
+    the file.  A task that is run again writes another file of the same contents.
+    """
+    width = np.dtype(model.id_type).itemsize
+    names = ["doc_ids", "counts", *(f"unit{n}" for n in range(PLANES)), "ids", "sizes", "gaps"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = head.column("unit").combine_chunks()
+        known = _runs(head.column("ids").combine_chunks(), model)
+        filesystem, base = filesystem_of(folder)
+        part = TaskContext.get().partitionId()
+        name = f"part-{part:06d}-{uuid.uuid4().hex}.arrow"
+        sink, writer, gaps = None, None, {}
+        for batch in in_batches(batches, WORK_BYTES):
+            units, counts = model.units_of(batch.column("text"))
+            which = units.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            order = np.argsort(-np.bincount(which, minlength=len(units.dictionary)), kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            distinct = units.dictionary.take(pa.array(order))
+            place = pc.index_in(distinct, value_set=common).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = known.take(place[place >= 0])
+            sizes = np.zeros(len(place), np.int64)
+            sizes[place >= 0] = ids.sizes
+            absent = distinct.filter(pa.array(place < 0)).to_pylist()
+            numbers = np.array([gaps.setdefault(u, len(gaps)) for u in absent], np.int64)
+            binary = [*_planes(rank[which]), ids.flat.tobytes(), sizes.astype("<u4").tobytes(), np.diff(numbers, prepend=0).astype("<i8").tobytes()]
+            row = pa.RecordBatch.from_arrays(
+                [
+                    pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("doc_id")),
+                    pa.array([counts.tolist()], pa.list_(pa.int64())), *(pa.array([b], pa.binary()) for b in binary),
+                ],
+                names,
+            )
+            if writer is None:
+                filesystem.create_dir(base, recursive=True)
+                sink = filesystem.open_output_stream(f"{base}/{name}")
+                writer = pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+            writer.write_batch(row)
+        if writer is None:
+            return
+        writer.close()
+        sink.close()
+        key = np.array([PATH, *gaps.values()], np.int64) + (part << KEY_BITS)
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array([f"{folder}/{name}", *gaps], pa.string())], ["key", "unit"])
+
+    return docs.select("doc_id", "text").mapInArrow(cut, "key long, unit string")
+
+
+def _runs(ids: pa.Array, model: Model) -> Runs:
+    """Id sequences that are bytes in an Arrow column."""
+    sizes = np.asarray(pc.binary_length(ids)).astype(np.int64) // np.dtype(model.id_type).itemsize
+    return Runs(np.frombuffer(b"".join(ids.to_pylist()), model.id_type), sizes)
+
+
+def read_file(path: str, gaps: Runs, model: Model) -> Iterator[tuple[pa.Array, Runs]]:
+    """Document ids and token ids of a file, batch by batch; ``gaps`` has the ids of the file's own units."""
+    with open_uri(path) as file, pa.ipc.open_stream(file) as batches:
+        for batch in batches:
+            column = {name: batch.column(name)[0] for name in batch.schema.names}
+            which = _numbers([column[f"unit{n}"] for n in range(PLANES)])
+            sizes = np.frombuffer(column["sizes"].as_buffer(), "<u4").astype(np.int64)
+            own = Runs(np.frombuffer(column["ids"].as_buffer(), model.id_type), sizes)
+            # Units of no ids here are the file's gaps, in order.
+            numbers = np.cumsum(np.frombuffer(column["gaps"].as_buffer(), "<i8"))
+            place = np.arange(len(sizes))
+            place[sizes == 0] = len(sizes) + numbers
+            ids = taken(Runs.of([own, gaps], np.dtype(model.id_type)), place[which])
+            ends = np.concatenate([[0], ids.ends])[np.concatenate([[0], np.cumsum(np.asarray(batch.column("counts").flatten()))])]
+            yield batch.column("doc_ids").flatten(), Runs(ids.flat, np.diff(ends))
+
+
+def _encoded(docs: DataFrame, model: Model, head_units: int, finish: Callable[[pa.Array, Runs], pa.RecordBatch], columns: str) -> DataFrame:
+    """What ``finish`` makes of the ids of each batch of documents: its columns after ``doc_id``."""
+    rows = docs.select("doc_id", "text")
+    table = unit_table(rows, model)
+    head = table.where(F.length("unit") <= LONGEST_UNIT).orderBy(F.desc("n"), "unit").limit(head_units).select("unit", "ids").toArrow()
+    written = write_files(rows, model, head, scratch(docs.sparkSession, "unit-files"))
+    found = written.join(table.select("unit", "ids"), "unit", "left")
+    whole = F.col("key").bitwiseAND(F.lit(PATH)) == PATH
+    found = found.select(
+        F.call_function("shiftright", "key", F.lit(KEY_BITS)).alias("file"), "key", F.when(~whole, F.col("ids")).alias("ids"), F.when(whole, F.col("unit")).alias("path")
+    )
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {columns}"
+
+    def spliced(units: pa.Table) -> pa.Table:
+        """One file and the ids of its units; both are bounded by the input of the task that wrote it."""
+        units = units.sort_by("key")
+        gaps = _runs(units.column("ids").drop_null().combine_chunks(), model)
+        paths = units.column("path").drop_null().to_pylist()
+        return pa.Table.from_batches([finish(*found) for found in read_file(paths[-1], gaps, model)])
+
+    return found.groupBy("file").applyInArrow(spliced, schema)
 
 
 def encode(docs: DataFrame, model: Model, head_units: int = HEAD_UNITS) -> DataFrame:
@@ -332,66 +498,13 @@ def encode(docs: DataFrame, model: Model, head_units: int = HEAD_UNITS) -> DataF
     A null or empty text has no ids.  Repeated rows are encoded alike and give repeated rows; an
     empty table gives none.
     """
-    rows = docs.select("doc_id", "text")
-    conf = docs.sparkSession.conf
-    before = conf.get(GROUPING)
-    conf.set(GROUPING, "false")
-    table = fixed(encode_units(count_units(rows, model), model), "units")
-    conf.set(GROUPING, before)
-    common = F.length("unit") <= HEAD_CHARS
-    head = table.where(common).orderBy(F.desc("n"), "unit").limit(head_units).select("unit", "ids").toArrow()
-    gap = np.iinfo(model.id_type).max
-    gap_bytes = np.array([gap], model.id_type).tobytes()
-    # Rows are known by 128 bits of their content, so equal rows share their missing units.
-    keyed = rows.select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"),
-        F.xxhash64(F.lit(1), "doc_id", "text").alias("k1"), F.xxhash64(F.lit(2), "doc_id", "text").alias("k2"),
-    )
-
-    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _lookup(head)
-        for batch in batches:
-            k1, k2, place, unit = [], [], [], []
-            for text, a, b in zip(*(batch.column(n).to_pylist() for n in ("text", "k1", "k2"))):
-                absent = [u for u in model.units(text) if u not in known]
-                k1 += [a] * len(absent)
-                k2 += [b] * len(absent)
-                place += range(len(absent))
-                unit += absent
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(place, pa.int32()), pa.array(unit, pa.string())],
-                ["k1", "k2", "place", "unit"],
-            )
-
-    def known_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, pack = _lookup(head), zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            packed = [pack(b"".join([known.get(u, gap_bytes) for u in model.units(t)])) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("k1"), batch.column("k2"), pa.array(packed, pa.binary())], ["doc_id", "k1", "k2", "packed"]
-            )
-
-    rare = keyed.mapInArrow(missing, "k1 long, k2 long, place int, unit string").join(table.select("unit", "ids"), "unit")
-    filled = rare.groupBy("k1", "k2").agg(F.collect_set(F.struct("place", "ids")).alias("gaps"))
-    filled = fixed(filled, "gaps")
-    doc_type = rows.schema["doc_id"].dataType.simpleString()
-    packed = keyed.mapInArrow(known_ids, f"doc_id {doc_type}, k1 long, k2 long, packed binary")
-
-    def splice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack, unpack = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            out = []
-            for blob, gaps in zip(batch.column("packed").to_pylist(), batch.column("gaps").to_pylist()):
-                if gaps:
-                    ids = np.frombuffer(unpack(blob), model.id_type)
-                    parts = [g["ids"] for g in sorted(gaps, key=lambda g: g["place"])]
-                    cuts = np.split(ids, np.nonzero(ids == gap)[0])
-                    blob = pack(b"".join([cuts[0].tobytes(), *(x for part, cut in zip(parts, cuts[1:]) for x in (part, cut[1:].tobytes()))]))
-                out.append(blob)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "ids"])
 
-    joined = packed.join(filled, ["k1", "k2"], "left").select("doc_id", "packed", "gaps")
-    return joined.mapInArrow(splice, f"doc_id {doc_type}, ids binary")
+    def packed(doc_ids: pa.Array, ids: Runs) -> pa.RecordBatch:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        blobs = [pack(ids.flat[a:b].tobytes()) for a, b in zip([0, *ids.ends.tolist()], ids.ends.tolist())]
+        return pa.RecordBatch.from_arrays([doc_ids, pa.array(blobs, pa.binary())], ["doc_id", "ids"])
+
+    return _encoded(docs, model, head_units, packed, "ids binary")
 
 
 def unpacked(blob: bytes, model: Model) -> np.ndarray:
@@ -408,21 +521,21 @@ def decode(encoded: DataFrame, model: Model) -> DataFrame:
     return encoded.withColumn(fresh_name(encoded, "text"), text_of(F.col("ids")))
 
 
-def digests(docs: DataFrame, model: Model) -> DataFrame:
+def digests(docs: DataFrame, model: Model, head_units: int = HEAD_UNITS) -> DataFrame:
     """One row per document: id, number of pieces, of byte pieces, CRC-32 of the ids as 32-bit integers, CRC-32 and length of the decoded text."""
     bytes_of = np.zeros(len(model.pieces), dtype=bool)
     bytes_of[list(model.byte_ids.values())] = True
-
-    @F.arrow_udf("struct<n_pieces:long, n_byte_pieces:long, ids_crc32:long, text_crc32:long, text_bytes:long>")
-    def digest(blobs: pa.Array) -> pa.Array:
-        found = []
-        for blob in blobs.to_pylist():
-            ids = unpacked(blob, model)
-            text = model.decoded(ids)
-            found.append((len(ids), int(bytes_of[ids].sum()), zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(text), len(text)))
-        names = ["n_pieces", "n_byte_pieces", "ids_crc32", "text_crc32", "text_bytes"]
-        columns = list(zip(*found)) if found else [()] * len(names)
-        return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
-
-    rows = encode(docs, model).select("doc_id", digest.asNondeterministic()(F.col("ids")).alias("d"))
-    return rows.select("doc_id", "d.*")
+    names = ["n_pieces", "n_byte_pieces", "ids_crc32", "text_crc32", "text_bytes"]
+
+    def digest(doc_ids: pa.Array, ids: Runs) -> pa.RecordBatch:
+        ends, sums = [0, *ids.ends.tolist()], []
+        n_bytes = np.concatenate([[0], np.cumsum(bytes_of[ids.flat], dtype=np.int32)])
+        for a, b in zip(ends, ends[1:]):
+            own = ids.flat[a:b]
+            text = model.decoded(own)
+            sums.append((zlib.crc32(own.astype("<u4").tobytes()), zlib.crc32(text), len(text)))
+        ids_sum, text_sum, size = zip(*sums) if sums else ((),) * 3
+        columns = [ids.sizes, np.diff(n_bytes[ends]), ids_sum, text_sum, size]
+        return pa.RecordBatch.from_arrays([doc_ids, *(pa.array(c, pa.int64()) for c in columns)], ["doc_id", *names])
+
+    return _encoded(docs, model, head_units, digest, ", ".join(f"{n} long" for n in names))
