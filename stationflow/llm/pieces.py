@@ -14,6 +14,7 @@ file, with gaps for other units.  Those, once a file, are joined by unit and com
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 import uuid
@@ -373,6 +374,9 @@ def unit_table(docs: DataFrame, model: Model) -> DataFrame:
         table = fixed(encode_units(count_units(docs, model), model), "units")
     finally:
         conf.set(GROUPING, before)
+    # The shuffled counts are nearly as large as the input; Spark frees them when nothing refers to them.
+    gc.collect()
+    docs.sparkSession.sparkContext._jvm.System.gc()
     return table
 
 
