@@ -7,7 +7,8 @@ the fit has not seen, selects those that are added.  Nothing leaves the row, so
 
 The trees learn from base spans written in ways the base patterns miss (no '+', '[at]', dots), put
 back into their own texts, and from look-alikes: the same spans made invalid, dates, article numbers
-and the invalid candidates of the texts themselves.
+and the invalid candidates of the texts themselves.  All documents teach: their examples are counted by
+feature values, and the trees and thresholds come from sums over these counts.
 
 The patterns below take a run of characters whole (possessive) and start only where a run starts or
 the last match ended; they match what the plain patterns match, in time linear in the text.
@@ -21,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stationflow.llm import boosting
-from stationflow.llm.common import fresh_name
+from stationflow.llm.common import fixed, fresh_name
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -68,16 +69,11 @@ _HINTS = {
 # Elements of a list folded together, and characters of a page of a text.
 RUN = 256
 PAGE = 1024
-# Documents whose candidates may be used for a fit, taken by smallest id hash.
-FIT_DOCS = 4_000
 FIT_TREES = 20
 # A threshold is used only if this share of the unseen candidates above it is genuine, by at least this many.
 PRECISION = 0.99
 LEAST_CANDIDATES = 20
-# Base spans of a document that are rewritten for the fit, and the text kept around each.
-FIT_SPANS = 64
-# Look-alikes of a document that teach, those of the smallest hashes.
-FIT_ALIKE = 1_000
+# The text kept around a base span that is rewritten for the fit.
 AROUND = CONTEXT + 8
 
 
@@ -268,18 +264,19 @@ class Judge:
     thresholds: tuple[float | None, ...]
 
 
-def _threshold(score: np.ndarray, genuine: np.ndarray) -> float | None:
-    """The lowest margin of a genuine unseen candidate above which they are genuine often enough."""
-    order = np.argsort(-score, kind="stable")
-    score, hits = score[order], np.cumsum(genuine[order])
-    rows = np.arange(1, len(score) + 1)
-    last = np.append(score[1:] < score[:-1], True)
-    fits = last & (rows >= LEAST_CANDIDATES) & (hits >= PRECISION * rows)
+def _threshold(score: np.ndarray, n: np.ndarray, genuine: np.ndarray) -> float | None:
+    """The lowest margin of a genuine unseen candidate above which they are genuine often enough.
+
+    ``score`` has each margin once, ``n`` and ``genuine`` the candidates of that margin.
+    """
+    order = np.argsort(-score)
+    score, rows, hits = score[order], np.cumsum(n[order]), np.cumsum(genuine[order])
+    fits = (rows >= LEAST_CANDIDATES) & (hits >= PRECISION * rows)
     if not fits.any():
         return None
     # A lower margin that adds look-alikes only would use up the share of error for nothing.
     lowest = score[np.nonzero(fits)[0][-1]]
-    return float(score[genuine[order].astype(bool) & (score >= lowest)][-1])
+    return float(score[(genuine[order] > 0) & (score >= lowest)][-1])
 
 
 def _rewritten(kind: str, hit: Column) -> tuple[list[Column], list[Column]]:
@@ -332,27 +329,34 @@ def _evident(c: Column) -> Column:
 
 
 def _taught(based: DataFrame) -> DataFrame:
-    """Candidates ``key, x, y`` of the sample that overlap no base span: look-alikes of the texts, then rewritten spans."""
+    """Candidates ``key, x, y`` of the texts that overlap no base span: look-alikes, then rewritten spans."""
     base = F.concat(*(f"b_{k}" for k in KINDS))
     example = lambda c, y: F.struct(c["x"].alias("x"), y.alias("y"))
 
     texts = _candidates(based)
     alike = F.transform(F.filter(_free(base), lambda c: ~_evident(c)), lambda c: example(c, F.lit(False)))
-    alike = F.transform(F.slice(F.sort_array(F.transform(alike, lambda e: F.struct(F.xxhash64(e["x"]).alias("h"), e.alias("e")))), 1, FIT_ALIKE), lambda z: z["e"])
     told = texts.select("key", F.explode(alike).alias("c"))
 
+    # Spans leave their text before they are rewritten, each with what lies around it.
+    some = based.where(F.size(base) > 0).select("key", base.alias("found"), _pages(F.col("body")).alias("pages"), F.length("body").alias("until"))
+    around = lambda s: F.struct(
+        s["kind"].alias("kind"),
+        _part(F.col("pages"), F.greatest(s["start"] - AROUND, F.lit(0)), s["start"]).alias("before"),
+        s["hit"].alias("hit"),
+        _part(F.col("pages"), s["stop"], F.least(s["stop"] + AROUND, F.col("until"))).alias("after"),
+    )
+    lone = some.select("key", F.explode(F.transform("found", around)).alias("s"))
+
     def rewritten(kind: str) -> Column:
         # Within a lambda the many forms are not compiled into the stage's code.
         def forms(s: Column) -> Column:
-            before = F.substring("body", F.greatest(s["start"] - AROUND, F.lit(0)) + 1, F.least(s["start"], F.lit(AROUND)))
-            after = F.substring("body", s["stop"] + 1, F.lit(AROUND))
             genuine, wrong = _rewritten(kind, s["hit"])
-            own = lambda hit, y: F.struct(s["kind"].alias("kind"), F.lit(y).alias("y"), before.alias("before"), hit.alias("hit"), after.alias("after"))
+            own = lambda hit, y: F.struct(s["kind"].alias("kind"), F.lit(y).alias("y"), s["before"].alias("before"), hit.alias("hit"), s["after"].alias("after"))
             return F.array(*(own(hit, True) for hit in genuine), *(own(hit, False) for hit in wrong))
 
-        return F.flatten(F.transform(F.slice(f"b_{kind}", 1, FIT_SPANS), forms))
+        return F.flatten(F.transform(F.filter(F.array("s"), lambda s: s["kind"] == KINDS.index(kind)), forms))
 
-    rows = based.select("key", F.explode(F.concat(*(rewritten(k) for k in KINDS))).alias("form")).select("key", "form.*")
+    rows = lone.select("key", F.explode(F.concat(*(rewritten(k) for k in KINDS))).alias("form")).select("key", "form.*")
     rows = rows.where(F.length("hit") > 0).select(
         "key", "kind", "y", F.length("before").alias("start"),
         (F.length("before") + F.length("hit")).alias("stop"), F.concat("before", "hit", "after").alias("body"),
@@ -365,41 +369,29 @@ def _taught(based: DataFrame) -> DataFrame:
     return told.unionByName(rows.select("key", F.explode(F.transform(clear, lambda c: example(c, F.col("y") & exact(c)))).alias("c")))
 
 
-def learn(docs: DataFrame, fit_docs: int = FIT_DOCS) -> Judge | None:
-    """Fit on the candidates of at most ``fit_docs`` documents, those of the smallest id hashes, a row an id.
-
-    A document gives at most ``FIT_ALIKE`` look-alikes and the forms of ``FIT_SPANS`` spans a kind.
+def learn(docs: DataFrame) -> Judge | None:
+    """Fit on the candidates of all documents.
 
     Only candidates that overlap no base span teach, as only these can be added: base spans in
     other forms are genuine, look-alikes are not.  Two thirds of the documents fit the trees and one
     third sets the thresholds; a kind with too few candidates, or none precise enough, adds no spans.
+
+    Texts stay in their tasks: equal examples are counted together before the shuffle, and the driver
+    gets sums by node and feature value, and counts by margin.
     """
-    # The bound is found on ids alone; texts are read only for the documents below it.
-    key = F.xxhash64("doc_id")
-    bound = docs.where("doc_id is not null").select(key.alias("key")).orderBy("key").limit(fit_docs).agg(F.max("key"))
-    (limit,) = bound.first()
-    if limit is None:
-        return None
-    # An id with several rows teaches by one of them.
-    some = docs.where(key <= limit).groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    some = some.select(F.pmod(key, F.lit(3)).alias("key"), F.coalesce("text", F.lit("")).alias("body"))
-    told = _taught(_base(some)).select((F.col("key") == 2).alias("unseen"), "c.*")
-    sample = sorted((tuple(r["x"]), r["y"], r["unseen"]) for r in told.collect())
-    if not sample:
+    # Rows of one id are all in the same part; rows without an id count as one id.
+    key = F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("key")
+    told = _taught(_base(docs.select(key, F.coalesce("text", F.lit("")).alias("body"))))
+    x = F.col("c")["x"].cast("array<int>")
+    told = told.select(x[0].alias("part"), x.alias("x"), F.col("c")["y"].alias("y"), (F.col("key") == 2).alias("unseen"))
+    genuine = F.sum(F.when(F.col("y"), 1).otherwise(0))
+    counted = fixed(told.groupBy("part", "x", "unseen").agg(F.count("*").alias("n"), genuine.alias("genuine")), "examples")
+    if counted.isEmpty():
         return None
-    x = np.array([v for v, _, _ in sample])
-    y = np.array([float(v) for _, v, _ in sample])
-    unseen = np.array([v for _, _, v in sample])
-    forests, thresholds = [], []
-    for k in range(len(KINDS)):
-        fits, tests = (x[:, 0] == k) & ~unseen, (x[:, 0] == k) & unseen
-        least, forest = None, None
-        if fits.any() and 0 < y[fits].mean() < 1 and tests.any():
-            forest = boosting.fit(x[fits], y[fits], trees=FIT_TREES)
-            least = _threshold(forest.margin(x[tests]), y[tests])
-        forests.append(forest if least is not None else None)
-        thresholds.append(least)
-    return Judge(tuple(forests), tuple(thresholds))
+    fitted = boosting.fit_parts(counted, trees=FIT_TREES)
+    thresholds = {k: _threshold(*unseen) for k, (_, *unseen) in fitted.items()}
+    judged = [thresholds.get(k) for k in range(len(KINDS))]
+    return Judge(tuple(fitted[k][0] if t is not None else None for k, t in enumerate(judged)), tuple(judged))
 
 
 def _selected(rows: DataFrame, judge: Judge | None) -> DataFrame:

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import Window
 
 import __spark_entry__ as registered
 import corpus_pipeline
@@ -693,3 +694,38 @@ def test_personal_data_in_long_texts(spark):
     assert places == sorted(places) and all((line * 700)[a:b].strip() == (line * 700)[a:b] for a, b, _ in places)
     clean = pii.redact(spark.createDataFrame([(1, line * 700)], "doc_id long, text string"), None).first()["text"]
     assert clean == (line * 700).replace("+1 (768) 555-9731", "[PHONE]").replace("a.b@c.org", "[EMAIL]").replace("10.1.2.3", "[IP]").replace("4111 1111 1111 1111", "[CARD]")
+
+
+def test_personal_data_is_learned_from_all_documents(spark):
+    """Phones in the documents of the largest id hashes only, and more than a few of them in a text."""
+    from pyspark.sql import functions as F
+
+    key = F.row_number().over(Window.orderBy(F.desc(F.xxhash64("doc_id"))))
+    number = lambda n, of: F.lpad(F.pmod(F.xxhash64("doc_id", F.lit(of)), F.lit(10**n)).cast("string"), n, "0")
+    phone = F.concat(F.lit("call +1 ("), number(3, 1), F.lit(") "), number(3, 2), F.lit("-"), number(4, 3), F.lit(" or see "), number(7, 4), F.lit(" x"))
+    ids = ready(spark).range(5_000).withColumnRenamed("id", "doc_id")
+    frame = ids.select("doc_id", F.when(key <= 300, phone).otherwise("no such thing").alias("text"))
+    judge = pii.learn(frame)
+    assert judge is not None and judge.thresholds[pii.KINDS.index("phone")] is not None
+    line = "call +1 (768) 555-9731 or 12 34 56 78 90 x. "
+    one, many = (pii._taught(pii._base(spark.createDataFrame([(1, line * n)], "key long, body string"))).count() for n in (100, 1_500))
+    assert many == 15 * one
+
+
+def test_boosting_of_all_rows_equals_the_fit(spark):
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, [200, 7, 2, 1], (3_000, 4))
+    y = x[:, 0] + 30 * x[:, 1] * x[:, 2] + rng.integers(0, 60, 3_000) < 170
+    part, unseen = rng.integers(0, 2, 3_000), rng.random(3_000) < 0.3
+    rows = [(int(p), [int(v) for v in r], bool(u), 1, int(t)) for p, r, t, u in zip(part, x, y, unseen)]
+    frame = ready(spark).createDataFrame(rows, "part int, x array<int>, unseen boolean, n long, genuine long").repartition(3)
+    found = boosting.fit_parts(frame, trees=1)
+    for p in (0, 1):
+        own, kept = (part == p) & ~unseen, (part == p) & unseen
+        forest, margin, n, genuine = found[p]
+        assert np.abs(forest.margin(x) - boosting.fit(x[own].astype(float), y[own].astype(float), trees=1).margin(x)).max() < 0.002
+        margins, counts = np.unique(forest.margin(x[kept]), return_counts=True)
+        order = np.argsort(margin)
+        assert np.allclose(margin[order], margins) and n[order].tolist() == counts.tolist() and genuine.sum() == y[kept].sum()
+    assert {p: len(f[0].roots) for p, f in boosting.fit_parts(frame, trees=3).items()} == {0: 3, 1: 3}
+    assert boosting.fit_parts(frame.where("unseen")) == {}
