@@ -47,11 +47,12 @@ def _lines(path: str, start: int, stop: int) -> Iterator[bytes]:
         source = filesystem.open_input_file(inner)
         # The line in progress where the range starts belongs to the one before.
         source.seek(max(start - 1, 0))
+    step = min(CHUNK_BYTES, max(stop - start, HEADER_BYTES))
     with source:
         data, at = b"", max(start - 1, 0)
         while (end := data.find(b"\n")) < 0:
             at += len(data)
-            if not (data := source.read(CHUNK_BYTES)):
+            if not (data := source.read(step)):
                 return
         data, at = data[end + 1 :], at + end + 1
         last = False
@@ -64,7 +65,7 @@ def _lines(path: str, start: int, stop: int) -> Iterator[bytes]:
             cut = data.rfind(b"\n") + 1
             if cut:
                 yield data[:cut]
-            chunk = source.read(CHUNK_BYTES)
+            chunk = source.read(step)
             data, at, last = data[cut:] + chunk, at + cut, not chunk
 
 
@@ -107,21 +108,21 @@ def _parsed(chunk: bytes, header: Sequence[str]) -> tuple[list[pa.Array], list[s
 def read_ranges(ranges: DataFrame, required: Sequence[str] = REQUIRED_TRIP_COLUMNS) -> DataFrame:
     """All that is in the ranges: rows, damaged lines, and a row per range with the file's header or what is wrong with it."""
     required = list(required)
-    schema = f"kind string, path string, {SOURCE} string, header array<string>, reason string, line string, extra map<string,string>, " + ", ".join(f"`{n}` string" for n in required)
-    names = ["kind", "path", SOURCE, "header", "reason", "line", "extra", *required]
+    schema = f"kind string, path string, start long, {SOURCE} string, header array<string>, reason string, line string, extra map<string,string>, " + ", ".join(f"`{n}` string" for n in required)
+    names = ["kind", "path", "start", SOURCE, "header", "reason", "line", "extra", *required]
     text, words = pa.string(), pa.list_(pa.string())
     pairs = pa.map_(text, text)
 
-    def batch(kind: str, path: str, n: int, header=None, reason=None, line=None, extra=None, own=None) -> pa.RecordBatch:
+    def batch(kind: str, path: str, start: int, n: int, header=None, reason=None, line=None, extra=None, own=None) -> pa.RecordBatch:
         name = path.rsplit("/", 1)[-1]
         columns = [
-            pa.array([kind] * n, text), pa.array([path] * n, text), pa.array([name] * n, text), pa.array([header] * n, words),
+            pa.array([kind] * n, text), pa.array([path] * n, text), pa.array([start] * n, pa.int64()), pa.array([name] * n, text), pa.array([header] * n, words),
             pa.array([reason] * n, text), line if line is not None else pa.nulls(n, text), extra if extra is not None else pa.nulls(n, pairs),
             *(own or [pa.nulls(n, text)] * len(required)),
         ]
         return pa.RecordBatch.from_arrays(columns, names)
 
-    def rows_of(path: str, columns: list[pa.Array], header: list[str]) -> pa.RecordBatch:
+    def rows_of(path: str, start: int, columns: list[pa.Array], header: list[str]) -> pa.RecordBatch:
         n = len(columns[0])
         by_name = dict(zip(header, columns))
         others = [h for h in header if h not in required]
@@ -132,7 +133,7 @@ def read_ranges(ranges: DataFrame, required: Sequence[str] = REQUIRED_TRIP_COLUM
         extra = pa.MapArray.from_arrays(pa.array(range(0, (n + 1) * len(others), len(others)) if others else [0] * (n + 1), pa.int32()), keys, table.take(order))
         known = pa.array(NULL_WORDS)
         own = [pc.if_else(pc.is_in(by_name[h], known), pa.scalar(None, text), by_name[h]) for h in required]
-        return batch(ROW, path, n, extra=extra, own=own)
+        return batch(ROW, path, start, n, extra=extra, own=own)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
@@ -146,13 +147,13 @@ def read_ranges(ranges: DataFrame, required: Sequence[str] = REQUIRED_TRIP_COLUM
                     for chunk in _lines(path, start, stop):
                         columns, surplus = _parsed(chunk, header)
                         if len(columns[0]):
-                            yield rows_of(path, columns, header)
+                            yield rows_of(path, start, columns, header)
                         if surplus:
-                            yield batch(DAMAGED, path, len(surplus), reason="too many fields", line=pa.array(surplus, text))
+                            yield batch(DAMAGED, path, start, len(surplus), reason="too many fields", line=pa.array(surplus, text))
                 except (OSError, EOFError, ValueError, csv.Error) as error:
                     # Messages can name offsets and addresses; the kind is enough and stays the same.
                     reason = str(error) if type(error) is ValueError else f"unreadable: {type(error).__name__}"
-                yield batch(FILE, path, 1, header=header, reason=reason)
+                yield batch(FILE, path, start, 1, header=header, reason=reason)
 
     dealt = ranges.repartitionByRange(min(max(1, ranges.count()), MOST_TASKS), "path", "start")
     return dealt.mapInArrow(read, schema)
@@ -172,9 +173,11 @@ def scan_once(spark: SparkSession, files: DataFrame | str | Sequence[str], requi
     if not isinstance(files, DataFrame):
         files = list_files(spark, files if isinstance(files, str) else list(files))
     found = fixed(read_ranges(byte_ranges(files, range_bytes), required), "scan")
-    verdicts = found.where(F.col("kind") == FILE).select("path", "header", "reason")
+    verdicts = found.where(F.col("kind") == FILE).select("path", "start", "header", "reason")
     rejected = verdicts.where(F.col("reason").isNotNull()).groupBy("path").agg(F.min("reason").alias("reason"))
-    usable = found.where(F.col("kind") != FILE).join(rejected.select("path"), "path", "left_anti")
+    # Rows are joined by range, so that those of a large file do not come to one task.
+    left_out = verdicts.select("path", "start").join(rejected.select("path"), "path", "left_semi")
+    usable = found.where(F.col("kind") != FILE).join(left_out, ["path", "start"], "left_anti")
     # Distinct names of columns, not headers of files, come to the driver.
     good = verdicts.where(F.col("reason").isNull()).select(F.explode("header").alias("name"))
     others = sorted(r["name"] for r in good.where(~F.col("name").isin(*required)).distinct().collect())

@@ -145,7 +145,7 @@ def _(spark, sf):
     folder = scratch(spark, "newest")
     raw = t.raw_trips(spark, sf)
     trip_csv.export_csv(raw.where(F.col("ended_at").isNotNull()), f"{folder}/JC-old.csv")
-    trip_csv.export_csv(raw.where(F.col("ended_at").isNull()).coalesce(1), f"{folder}/JC-new.csv")
+    trip_csv.export_csv(raw.where(F.col("ended_at").isNull()).repartition(1), f"{folder}/JC-new.csv")
     return trip_csv.scan_newest_trips(spark, f"{folder}/JC-*.csv/*.csv", 1).rows.select(RAW_COLUMNS)
 
 
@@ -155,7 +155,7 @@ def _(spark, sf):
     folder = scratch(spark, "csv")
     raw = t.raw_trips(spark, sf)
     classic = raw.where(F.col("ended_at").isNotNull())
-    trip_csv.export_csv(classic.coalesce(1), f"{folder}/JC-1.csv")
+    trip_csv.export_csv(classic, f"{folder}/JC-1.csv")
     extra = raw.where(F.col("ended_at").isNull()).withColumn("member_casual", F.lit("member"))
     trip_csv.export_csv(extra.select("member_casual", *reversed(RAW_COLUMNS)), f"{folder}/JC-2.csv")
     return one_pass.scan_once(spark, f"{folder}/JC-*.csv", range_bytes=10_000).rows.select(RAW_COLUMNS)
@@ -172,7 +172,7 @@ def _faulty_folder(spark, sf) -> str:
     trip_csv.export_csv(raw.where(F.col("ended_at").isNotNull()), f"{folder}/good.csv")
     surplus = raw.where(F.col("ended_at").isNull()).select(*RAW_COLUMNS, F.lit("x").alias("more"))
     # One field more than the header has: the rows are set aside.
-    surplus.select(F.concat_ws(",", *(F.coalesce(c, F.lit("")) for c in surplus.columns)).alias("value")).coalesce(1).write.text(f"{folder}/rows.csv")
+    surplus.select(F.concat_ws(",", *(F.coalesce(c, F.lit("")) for c in surplus.columns)).alias("value")).repartition(1).write.text(f"{folder}/rows.csv")
     filesystem, base = filesystem_of(folder)
     rows = [name for name in filesystem.get_file_info(_listing(f"{base}/rows.csv")) if name.base_name.startswith("part-")]
     with filesystem.open_input_stream(rows[0].path) as source, filesystem.open_output_stream(f"{base}/JC-rows-0.csv") as sink:

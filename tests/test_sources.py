@@ -208,3 +208,40 @@ def test_one_pass_reads_files_once(spark, tmp_path):
     assert ids(scan.rows) == ["a", "b", "open"]
     assert scan.rejected_rows.select(F.length("line")).first()[0] > 6_000_000
     assert one_pass.scan_once(spark, f"{tmp_path}/gone", required=["none"]).rejected_files.first()["reason"] == "missing column none"
+
+
+def test_rows_of_one_file_go_to_several_tasks(spark, tmp_path):
+    """Leaving out the rows of unusable files does not bring all rows of a file to one task."""
+    rows = 20_000
+    put(tmp_path, "JC-1.csv", HEADER, *(f"id{n},{TIME},{TIME},s{n},e" for n in range(rows)))
+    put(tmp_path, "JC-2.csv", "ride_id,started_at", "x,1")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        found = one_pass.scan_once(spark, f"{tmp_path}/JC-*.csv", range_bytes=10_000).rows
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert sum(sizes) == rows and max(sizes) < rows / 2
+
+
+def test_trip_files_are_written_in_parallel(spark, tmp_path, monkeypatch):
+    """The files of the one-pass query come from as many tasks as its table has parts."""
+    from datetime import datetime
+
+    from suite import source_queries
+
+    event = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
+    rows = [(n, datetime(2024, 1, 1, n % 24), n, "click", 5.0 + n % 300) for n in range(400)]
+    spark.createDataFrame(rows, event).repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
+    written = []
+    export = trip_csv.export_csv
+    monkeypatch.setattr(trip_csv, "export_csv", lambda df, path: (written.append(df.rdd.getNumPartitions()), export(df, path)))
+    try:
+        found = source_queries.QUERIES["s1_scan_once"](spark, str(tmp_path))
+        assert found.count() == 400 and written == [4, 4]
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
