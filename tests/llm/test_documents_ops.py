@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import Window
 
 import __spark_entry__ as registered
@@ -477,6 +478,41 @@ def test_viterbi_equals_the_library_on_a_unigram_model(spark):
         assert np.frombuffer(r["ids"], model.id_type).tolist() == library.encode(r["unit"]), r["unit"]
 
 
+def test_units_come_back_once_and_packed_by_file(spark, edge):
+    model = pieces.Model.load(PIECE_MODEL)
+    # Nothing but the packed ids is left to shuffle, and no table of all units is joined to them.
+    plan = pieces.digests(edge, model, 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(file") == 1 and plan.count("Exchange") == 1 and "Join" not in plan
+
+    long = "ab" * 40
+    places = [((0, 1), "wordy"), ((0, 0), " zebra"), ((0, 2), long), ((1, 0), "wordy"), ((1, 1), "x"), ((2, 0), long), ((2, 1), "тест")]
+    keys = [((file << pieces.KEY_BITS) + number, unit) for (file, number), unit in places]
+    keys += [((file << pieces.KEY_BITS) + pieces.PATH, path) for file, path in enumerate(["wordy", "b", "a/" * 50])]
+    written = ready(spark).createDataFrame(keys, "key long, unit string").repartition(3, "unit")
+    found, paths = {}, {}
+    for r in pieces.encode_gaps(written, model).collect():
+        if r["path"] is not None:
+            assert r["ids"] is None and r["file"] not in paths
+            paths[r["file"]] = r["path"]
+            continue
+        numbers, sizes, ids = (np.frombuffer(zstandard.ZstdDecompressor().decompress(r[c]), k) for c, k in (("numbers", "<u4"), ("sizes", "<u4"), ("ids", model.id_type)))
+        for number, own in zip(numbers.tolist(), np.split(ids, np.cumsum(sizes)[:-1])):
+            assert (r["file"], number) not in found
+            found[r["file"], number] = own.tolist()
+    assert paths == {0: "wordy", 1: "b", 2: "a/" * 50}
+    assert found == {place: model.library.encode(unit) for place, unit in places}
+
+
+def test_common_units(spark):
+    counts = ready(spark).createDataFrame([(f"u{n}", max(1, 50 - n)) for n in range(20_000)] + [("a" * 70, 999)], "unit string, n long")
+    for most in (0, 5, 49, 10_000, 30_000):
+        units = {r["unit"] for r in pieces.common_units(counts, most).collect()}
+        assert "a" * 70 not in units and {f"u{n}" for n in range(min(most, 49))} <= units
+        assert abs(len(units) - min(most, 20_000)) <= (0 if most < 50 or most > 20_000 else 500)
+        assert units == {r["unit"] for r in pieces.common_units(counts.repartition(7), most).collect()}
+    assert pieces.common_units(counts.limit(0), 5).count() == 0
+
+
 # --- languages ---------------------------------------------------------------------------------
 
 
