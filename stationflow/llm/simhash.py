@@ -86,26 +86,25 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKE
         "fp", F.explode(F.array(*(F.struct(F.lit(h).alias("h"), _half(fp, h).alias("key"), _half(fp, 1 - h).alias("other")) for h in (0, 1)))).alias("e")
     ).select("fp", "e.*")
     crowded = entries.groupBy("h", "key").agg(F.count("*").alias("n")).where(F.col("n") > bucket)
-    crowded = fixed(crowded.select("h", "key", F.lit(True).alias("long")), "crowded")
+    crowded = fixed(crowded.select("h", "key"), "crowded")
 
     # A pair whose halves differ in one bit is found from the side where that bit is not set.
     up = F.filter(_ball(F.col("key"), 32), lambda v: v >= F.col("key"))
     probes = entries.select("fp", "h", "other", F.explode(up).alias("key"))
-    marked = lambda rows: rows.join(crowded, ["h", "key"], "left")
-    stored, asked = marked(entries), marked(probes)
+    # Spark takes exploded rows for as few as the rows they come from and would broadcast the probes, 33 and
+    # more a fingerprint.  So they are merged, and semi and anti joins leave it the crowded halves alone.
+    lone = lambda rows, side: rows.join(crowded, ["h", "key"], "left_anti").select("h", "key", F.col("fp").alias(side))
+    among = lambda rows: rows.join(crowded, ["h", "key"], "left_semi")
 
     different = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     close = different.between(1, max_bits)
-    short = (
-        stored.where("long is null").select("h", "key", F.col("fp").alias("b"))
-        .join(asked.where("long is null").select("h", "key", F.col("fp").alias("a")), ["h", "key"])
-    )
-    quarters = lambda rows, side: rows.where("long").select(
+    short = lone(entries, "b").join(lone(probes, "a").hint("merge"), ["h", "key"])
+    quarters = lambda rows, side: among(rows).select(
         "h", "key", F.col("fp").alias(side),
         F.explode(F.array(*(F.struct(F.lit(q).alias("q"), _quarter(F.col("other"), q).alias("v")) for q in (0, 1)))).alias("e"),
     ).select("h", "key", side, "e.q", "e.v")
-    asked_long = quarters(asked, "a").select("h", "key", "q", "a", F.explode(_ball(F.col("v"), 16)).alias("v"))
-    long = quarters(stored, "b").join(asked_long, ["h", "key", "q", "v"])
+    asked = quarters(probes, "a").select("h", "key", "q", "a", F.explode(_ball(F.col("v"), 16)).alias("v"))
+    long = quarters(entries, "b").join(asked.hint("merge"), ["h", "key", "q", "v"])
     return short.where(close).select("a", "b").unionByName(long.where(close).select("a", "b"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Window
 import __spark_entry__ as registered
 import corpus_pipeline
 from stationflow.llm import boosting, langid, licenses, mixing, pieces, pii, quality, simhash, token_files
-from stationflow.llm.common import ready, table
+from stationflow.llm.common import fixed, ready, table
 from stationflow.llm.queries import PIECE_MODEL, WORD_TOKENIZER
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -137,6 +137,18 @@ def test_links_are_complete_where_fingerprints_crowd(spark, bucket):
     assert found == {(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 3}
 
 
+@pytest.mark.parametrize("bucket", [simhash.BUCKET, 1])
+def test_probes_are_not_broadcast(spark, plan, bucket):
+    """A ball has 33 values a half, which Spark's estimate of an exploded table does not count."""
+    prints = ready(spark).createDataFrame([(n * 0x9E3779B97F4A7C15 % (1 << 62) ^ b,) for n in range(200) for b in (0, 5)], "fp long")
+    # A table of a known, small size, as distinct fingerprints are.
+    found = simhash.links(fixed(prints, "prints"), bucket=bucket)
+    for ran in (False, True):
+        joins = [line for line in plan(found).split("\n") if "Join" in line and "Inner" in line]
+        assert len(joins) >= 2 and not any("Broadcast" in j for j in joins), ran
+        assert len(found.collect()) >= 200
+
+
 def test_keep_first(spark, edge):
     kept = simhash.keep_first(edge)
     assert kept.columns == edge.columns
