@@ -576,6 +576,20 @@ def test_pipeline_stages(spark, sf_dir, docs, texts):
     assert sorted((r["doc_id"], r["ids_crc32"]) for r in found) == want
 
 
+def test_the_last_stage_gives_the_ids(spark, sf_dir):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+    rows = [*enumerate(EDGE), (3, "one"), (None, "two words"), (3, "x" * 70 + " three")]
+    frame = ready(spark).createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = dict(corpus_pipeline.STAGES)["sentencepiece_ids"](spark, frame, sf_dir)
+    want = [(i, library.encode(t or "")) for i, t in rows]
+    assert sorted(map(str, ((r["doc_id"], r["ids"]) for r in found.collect()))) == sorted(map(str, want))
+    for r in found.collect():
+        assert r["n_pieces"] == len(r["ids"]) and r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+    assert dict(found.dtypes)["ids"] == "array<int>"
+
+
 def test_added_tokens_in_any_letter_case(spark):
     """Only the exact spelling of an added token is that token."""
     spellings = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|StartOfText|>", "<|STARTOFTEXT|>"]
