@@ -590,6 +590,16 @@ def test_the_last_stage_gives_the_ids(spark, sf_dir):
     assert dict(found.dtypes)["ids"] == "array<int>"
 
 
+def test_the_pipeline_does_not_broadcast_probes(spark, plan, sf_dir, monkeypatch):
+    links, seen = simhash.links, []
+    monkeypatch.setattr(simhash, "links", lambda *a: seen.append(links(*a)) or seen[-1])
+    rows = [(n, " ".join(f"w{n // 2 * 7919 % 1000}x{k}" for k in range(30))) for n in range(100)]
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, ready(spark).createDataFrame(rows, "doc_id long, text string"), sf_dir)
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(0, 100, 2))
+    joins = [line for line in plan(seen[0]).split("\n") if "Join" in line and "Inner" in line]
+    assert len(seen) == 1 and len(joins) >= 2 and not any("Broadcast" in j for j in joins)
+
+
 def test_added_tokens_in_any_letter_case(spark):
     """Only the exact spelling of an added token is that token."""
     spellings = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|StartOfText|>", "<|STARTOFTEXT|>"]
